@@ -59,8 +59,18 @@ LISTED_AGAIN = (
 )
 
 
+# Columns used of each table; declared, so that no job has to look them up.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "supplier": "s_suppkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "pages": "page_id bigint, url string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def request_log(spark: SparkSession, sf_dir: str, url: str = BUSY_URL) -> DataFrame:

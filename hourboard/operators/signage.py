@@ -8,7 +8,7 @@ instead of multiplied and a heavily repeated device costs no more than any other
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourboard.functions import hours
@@ -74,11 +74,10 @@ def _folded_by_minute(listings: DataFrame) -> DataFrame:
 
     Each distinct pair of hours adds its listings at the opening minute and takes them away at the
     closing one. Added up per minute that leaves at most 1,441 changes per device, whatever the
-    number of listings.
+    number of listings; their running total is the number of open listings up to the next change.
     """
     spans = listings.groupBy("device", "opens", "closes").agg(F.count(F.lit(1)).alias("n"))
-    ever_open = F.col("opens") < F.col("closes")
-    change = F.when(ever_open, F.col("n")).otherwise(F.lit(0))
+    change = F.when(F.col("opens") < F.col("closes"), F.col("n")).otherwise(F.lit(0))
     steps = spans.select(
         "device",
         F.inline(
@@ -99,30 +98,27 @@ def _folded_by_minute(listings: DataFrame) -> DataFrame:
         ),
     )
     changes = steps.groupBy("device", "minute").agg(
-        F.sum("change").alias("change"),
-        F.sum("listings").alias("listings"),
-        F.sum("spans").alias("spans"),
+        *[F.sum(name).alias(name) for name in ("change", "listings", "spans")]
     )
-    open_at = F.transform(
-        F.sequence(F.lit(0), F.lit(hours.MINUTES_PER_DAY - 1)),
-        lambda minute: F.aggregate(
-            F.col("changes"),
-            F.lit(0).cast("bigint"),
-            lambda total, step: total
-            + F.when(step["minute"] <= minute, step["change"]).otherwise(F.lit(0)),
-        ),
+    in_order = Window.partitionBy("device").orderBy("minute")
+    until = F.lead("minute", 1, hours.MINUTES_PER_DAY).over(in_order)
+    segments = changes.select(
+        "*",
+        F.sum("change").over(in_order).alias("open"),
+        (until - F.col("minute")).alias("length"),
     )
-    return (
-        changes.groupBy("device")
-        .agg(
-            F.sum("listings").alias("listings"),
-            F.min(F.when(F.col("change") > 0, F.col("minute"))).alias("opens"),
-            F.max(F.when(F.col("change") < 0, F.col("minute"))).alias("closes"),
-            F.sum("spans").alias("spans"),
-            F.collect_list(F.struct("minute", "change")).alias("changes"),
-        )
-        .withColumn("open_by_minute", F.when(F.col("spans") > 1, open_at))
+    by_device = segments.groupBy("device").agg(
+        F.sum("listings").alias("listings"),
+        F.min(F.when(F.col("change") > 0, F.col("minute"))).alias("opens"),
+        F.max(F.when(F.col("change") < 0, F.col("minute"))).alias("closes"),
+        F.sum("spans").alias("spans"),
+        F.min("minute").alias("first"),
+        F.sort_array(F.collect_list(F.struct("minute", "open", "length"))).alias("segments"),
     )
+    before = F.array_repeat(F.lit(0).cast("bigint"), F.col("first"))
+    runs = F.transform("segments", lambda run: F.array_repeat(run["open"], run["length"]))
+    by_minute = F.concat(before, F.flatten(runs))
+    return by_device.withColumn("open_by_minute", F.when(F.col("spans") > 1, by_minute))
 
 
 def join_hours(plays: DataFrame, devices: DeviceHours, broadcast: bool) -> DataFrame:
