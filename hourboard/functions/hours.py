@@ -33,22 +33,30 @@ def minute_rank(text: Column) -> Column:
 
     Since those texts sort like the minutes they name, ``hm >= text`` holds exactly for minutes
     ``>= rank`` and ``hm < text`` for minutes ``< rank``: the text comparison becomes an integer one
-    for any text. Well-formed times take the direct way; only odd ones are ranked by counting.
+    for any text. Well-formed times take the direct way; odd ones are ranked by counting, first the
+    hours that end before them, then the minutes of the next hour.
     """
     well_formed = (F.length(text) == 5) & text.rlike("^([01][0-9]|2[0-3]):[0-5][0-9]$")
     direct = F.substring(text, 1, 2).try_cast("int") * 60 + F.substring(text, 4, 2).try_cast("int")
-    minutes = F.sequence(F.lit(0), F.lit(MINUTES_PER_DAY - 1))
-    counted = F.size(F.filter(minutes, lambda m: minute_text(m) < text))
+    whole_hours = _count_below(_texts(range(59, MINUTES_PER_DAY, 60)), text)
+    next_hour = F.slice(_texts(range(MINUTES_PER_DAY)), whole_hours * 60 + 1, 60)
+    counted = whole_hours * 60 + _count_below(next_hour, text)
     return F.when(well_formed, direct).otherwise(counted)
 
 
-def minute_text(minute: Column) -> Column:
-    def two(number: Column) -> Column:
-        return F.lpad(number.cast("string"), 2, "0")
+def minute_text(minute: int) -> str:
+    return f"{minute // 60:02}:{minute % 60:02}"
 
-    return F.concat(two(F.floor(minute / 60)), F.lit(":"), two(minute % 60))
+
+def _texts(minutes: range) -> Column:
+    """Constant array of the texts of ``minutes``."""
+    return F.split(F.lit(" ".join(map(minute_text, minutes))), " ")
+
+
+def _count_below(texts: Column, text: Column) -> Column:
+    return F.size(F.filter(texts, lambda candidate: candidate < text))
 
 
 def text_rank(text: str) -> int:
     """``minute_rank`` of one known text."""
-    return sum(f"{m // 60:02}:{m % 60:02}" < text for m in range(MINUTES_PER_DAY))
+    return sum(minute_text(minute) < text for minute in range(MINUTES_PER_DAY))
