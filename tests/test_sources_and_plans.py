@@ -40,15 +40,17 @@ def stored_log(spark, tmp_path):
     return path
 
 
-def test_scan_reads_only_what_it_needs(spark, stored_log):
+def test_scan_reads_only_what_it_needs(spark, stored_log, capsys):
     log = readers.read_requests(spark, stored_log, "parquet", "log_dt")
     frame = hourly_impressions(log, signage_of(spark, ("d1", "", "")), D21, D22, log_date="log_dt")
-    plan = frame._explain_string(mode="formatted")
+    frame.explain("formatted")
+    plan = capsys.readouterr().out
     assert re.search(
         r"ReadSchema: struct<timestamp:timestamp,httpRequest:struct<requestUrl:string>>", plan
     )
-    assert "GreaterThanOrEqual(timestamp,2025-03-20T15:00:00Z)" in plan
-    assert "LessThanOrEqual(timestamp,2025-03-22T14:59:59Z)" in plan
+    assert "GreaterThanOrEqual(timestamp,2025-03-20 15:00:00.0)" in plan
+    assert "LessThanOrEqual(timestamp,2025-03-22 14:59:59.0)" in plan
+    assert "StringContains(httpRequest.requestUrl,/tracking)" in plan
     assert re.search(r"PartitionFilters: \[.*log_dt#\d+ >= 2025-03-20", plan)
     assert frame.count() == 2
 
