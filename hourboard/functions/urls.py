@@ -13,7 +13,13 @@ PATH_PATTERN = r"//[^/]+([^?#]+)"
 
 
 def _marker(key: str) -> str:
-    return f"[?&]{re.escape(key)}="
+    """Pattern of ``?key=`` or ``&key=``, from the key on.
+
+    The regex engine searches fast for a pattern that begins with plain text, so what comes before
+    the key is checked by looking back from behind it.
+    """
+    text = re.escape(key) + "="
+    return f"{text}(?<=[?&]{text})"
 
 
 def param_text(url: Column, key: str) -> Column:
