@@ -56,9 +56,15 @@ def url_path(url: Column) -> Column:
 
 
 def safe_int(text: Column) -> Column:
-    """Text to a 64-bit integer, NULL when it is none. Takes ``0x`` hexadecimal too."""
+    """Text to a 64-bit integer, NULL when it is none. Takes ``0x`` hexadecimal too.
+
+    A failing cast is slow, so texts that cannot be numbers are told by their first character:
+    digits, signs and blanks all sort below the colon. ``text`` is used several times and should be
+    a plain column.
+    """
+    number_like = (text > "") & (text < ":")
     hex_form = text.rlike("^[+-]?0[xX]0*[0-9a-fA-F]{1,16}$")
     digits = F.conv(F.regexp_extract(text, "0[xX]0*([0-9a-fA-F]+)$", 1), 16, 10)
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    from_hex = F.when(F.contains(text, F.lit("0")) & hex_form, F.concat(sign, digits))
-    return F.coalesce(text.try_cast("bigint"), from_hex.try_cast("bigint"))
+    from_hex = F.when(hex_form, F.concat(sign, digits)).try_cast("bigint")
+    return F.when(number_like, F.coalesce(text.try_cast("bigint"), from_hex))

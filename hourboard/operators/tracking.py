@@ -45,13 +45,13 @@ def filter_tracking(
 
 def play_keys(plays: DataFrame) -> DataFrame:
     """The eight group keys of each play and its Tokyo minute of day."""
-    ts = F.col("timestamp")
+    ts, url = F.col("timestamp"), request_url()
     local = times.local_ts(ts, is_ntz(plays, "timestamp"))
-    keys = {
-        "timestamp_hourly": times.hour_bucket(ts),
-        "device_id": urls.query_param(request_url(), "device_id"),
-        **{name: urls.safe_int(urls.param_text(request_url(), name)) for name in INT_PARAMS},
-    }
-    return plays.select(
-        *[keys[name].alias(name) for name in KEYS], times.minute_of_day(local).alias("minute")
+    texts = plays.select(
+        times.hour_bucket(ts).alias("timestamp_hourly"),
+        times.minute_of_day(local).alias("minute"),
+        urls.query_param(url, "device_id").alias("device_id"),
+        *[urls.param_text(url, name).alias(name) for name in INT_PARAMS],
     )
+    numbers = {name: urls.safe_int(F.col(name)).alias(name) for name in INT_PARAMS}
+    return texts.select(*[numbers.get(name, F.col(name)) for name in KEYS], "minute")

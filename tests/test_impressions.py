@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import DAY, requests_of, signage_of, track
+from hourboard.functions import times
 from hourboard.operators import signage as signage_ops
 from hourboard.plans.impressions import hourly_impressions, with_business_date
 
@@ -40,9 +41,8 @@ def test_shape_of_a_group(spark):
     ]
 
 
-@pytest.mark.parametrize(
-    "url",
-    [
+def test_other_requests_are_left_out(spark):
+    others = [
         track(path="/tracking/"),
         track(path="/x/tracking"),
         track(event="start"),
@@ -54,10 +54,10 @@ def test_shape_of_a_group(spark):
         track(networkId="01"),
         "not a url",
         None,
-    ],
-)
-def test_other_requests_are_left_out(spark, url):
-    assert run(spark, [(NOON, url)]) == []
+    ]
+    rows = [(NOON, url) for url in others]
+    assert run(spark, rows) == []
+    assert [row["cnt"] for row in run(spark, rows + [(NOON, track())])] == [1]
 
 
 def test_missing_and_unparsable_keys_are_groups(spark):
@@ -67,33 +67,33 @@ def test_missing_and_unparsable_keys_are_groups(spark):
     assert found == [("", "2", 1), ("None", "2", 1), ("d1", "None", 2)]
 
 
-@pytest.mark.parametrize(
-    "opening, closing, tokyo, counted",
-    [
-        ("10:15", "20:45", "10:15", True),  # opening itself counts
-        ("10:15", "20:45", "10:14", False),
-        ("10:15", "20:45", "20:44", True),
-        ("10:15", "20:45", "20:45", False),  # closing does not
-        (None, None, "09:00", True),
-        ("", "", "20:59", True),
-        ("", "", "21:00", False),
-        ("", "22:00", "21:30", True),
-        ("9:00", "21:00", "10:00", False),  # unpadded text sorts after every minute
-        ("18:00", "02:00", "19:00", False),  # past midnight never matches
-        ("18:00", "02:00", "01:00", False),
-        ("20:00", "24:00", "23:59", True),
-    ],
-)
+OPENING_CASES = [
+    ("10:15", "20:45", "10:15", True),  # opening itself counts
+    ("10:15", "20:45", "10:14", False),
+    ("10:15", "20:45", "20:44", True),
+    ("10:15", "20:45", "20:45", False),  # closing does not
+    (None, None, "09:00", True),
+    ("", "", "20:59", True),
+    ("", "", "21:00", False),
+    ("", "22:00", "21:30", True),
+    ("9:00", "21:00", "10:00", False),  # unpadded text sorts after every minute
+    ("18:00", "02:00", "19:00", False),  # past midnight never matches
+    ("18:00", "02:00", "01:00", False),
+    ("20:00", "24:00", "23:59", True),
+]
+
+
 @pytest.mark.parametrize("limit", [signage_ops.BROADCAST_LIMIT_BYTES, 0])
-def test_opening_hours(spark, opening, closing, tokyo, counted, limit):
-    moment = dt.datetime.fromisoformat(f"2025-03-22 {tokyo}:30") - dt.timedelta(hours=9)
-    rows = run(
-        spark,
-        [(str(moment), track())],
-        ("d1", opening, closing),
-        broadcast_limit_bytes=limit,
-    )
-    assert [row["imp"] for row in rows] == ([1] if counted else [])
+def test_opening_hours(spark, limit):
+    rows, listings = [], []
+    for number, (opening, closing, tokyo, _) in enumerate(OPENING_CASES):
+        moment = dt.datetime.fromisoformat(f"2025-03-22 {tokyo}:30") - dt.timedelta(hours=9)
+        rows.append((str(moment), track(device=f"d{number}")))
+        listings.append((f"d{number}", opening, closing))
+    counted = run(spark, rows, *listings, broadcast_limit_bytes=limit)
+    assert {row["device_id"] for row in counted} == {
+        f"d{number}" for number, case in enumerate(OPENING_CASES) if case[3]
+    }
 
 
 def test_default_hours_apply_to_unlisted_devices_too(spark):
@@ -154,9 +154,25 @@ def counted_in_python(rows, listings, first, last):
     return {key: tuple(value) for key, value in groups.items() if value[0]}
 
 
-@pytest.mark.parametrize("limit", [signage_ops.BROADCAST_LIMIT_BYTES, 0])
-@pytest.mark.parametrize("ntz", [True, False])
-def test_random_log_with_hot_device_and_listings(spark, limit, ntz):
+@pytest.fixture
+def session_zone(spark, request):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", previous)
+
+
+@pytest.mark.parametrize(
+    "limit, ntz, session_zone",
+    [
+        (signage_ops.BROADCAST_LIMIT_BYTES, True, "America/New_York"),
+        (signage_ops.BROADCAST_LIMIT_BYTES, False, "Asia/Tokyo"),
+        (0, True, "UTC"),
+        (0, False, "America/New_York"),
+    ],
+    indirect=["session_zone"],
+)
+def test_random_log_with_hot_device_and_listings(spark, limit, ntz, session_zone):
     """A third of requests and of listings on one device, another third without a device."""
     draw = random.Random(7)
     texts = [None, "", "9:00", "24:00", "00:00", "2"]
@@ -183,7 +199,9 @@ def test_random_log_with_hot_device_and_listings(spark, limit, ntz):
         DAY,
         last,
         broadcast_limit_bytes=limit,
-    ).withColumn("hour", F.date_format("timestamp_hourly", "yyyy-MM-dd HH"))
+    )
+    hour = times.utc_wall(F.col("timestamp_hourly"), ntz).cast("string")
+    frame = frame.withColumn("hour", F.substring(hour, 1, 13))
     actual = {
         (r["hour"], r["device_id"], str(r["creativeId"])): (r["imp"], r["cnt"])
         for r in frame.collect()
