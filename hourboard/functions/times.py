@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 JST_HOURS = 9
 JST = dt.timedelta(hours=JST_HOURS)
 
+DAY_PATTERN = "[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}"
+
 
 def utc_wall(ts: Column, ntz: bool) -> Column:
     """UTC wall clock without zone; zone-less input already is that."""
@@ -98,8 +100,8 @@ def date_range(first: Column, last: Column) -> Column:
 
 
 def is_valid_date(text: Column) -> Column:
-    """Strict ``YYYY-MM-DD`` naming a day that exists; NULL text is not one."""
-    shaped = text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & (F.length(text) == 10)
+    """Strict ``YYYY-MM-DD`` naming a day that exists, from the year 1000; NULL is not one."""
+    shaped = text.rlike(rf"^{DAY_PATTERN}\z")
     return F.coalesce(shaped & text.try_cast("date").isNotNull(), F.lit(False))
 
 

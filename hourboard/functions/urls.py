@@ -63,7 +63,7 @@ def safe_int(text: Column) -> Column:
     a plain column.
     """
     number_like = (text > "") & (text < ":")
-    hex_form = text.rlike("^[+-]?0[xX]0*[0-9a-fA-F]{1,16}$")
+    hex_form = text.rlike(r"^[+-]?0[xX]0*[0-9a-fA-F]{1,16}\z")
     digits = F.conv(F.regexp_extract(text, "0[xX]0*([0-9a-fA-F]+)$", 1), 16, 10)
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     from_hex = F.when(hex_form, F.concat(sign, digits)).try_cast("bigint")

@@ -43,7 +43,7 @@ def parse_date(value: str | dt.date | None) -> dt.date | None:
 
 def strict_date(value: str) -> dt.date | None:
     """A day written exactly ``YYYY-MM-DD``, else None."""
-    if not re.fullmatch("[0-9]{4}-[0-9]{2}-[0-9]{2}", value):
+    if not re.fullmatch(times.DAY_PATTERN, value):
         return None
     try:
         return dt.date.fromisoformat(value)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourboard.plans.impressions import with_business_date
 from hourboard.schemas import CLUSTER_KEYS, KEYS, TARGET_COLUMNS, target_schema
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -93,12 +94,25 @@ def append_rows(spark: SparkSession, table: str, rows: DataFrame) -> int:
 
 
 def append_records(spark: SparkSession, table: str, records: list[Mapping[str, Any]]) -> int:
-    """Add a few records at hand; none at all is no write."""
+    """Add a few records at hand; none at all is no write. Naive timestamps are UTC."""
     if not records:
         return 0
     kind = spark.table(table).schema["timestamp_hourly"].dataType
-    values = [tuple(record.get(name) for name in TARGET_COLUMNS) for record in records]
-    return append_rows(spark, table, spark.createDataFrame(values, target_schema(kind)))
+    fields = target_schema(kind).fields[:-1]
+    moments = [_utc(record["timestamp_hourly"], kind) for record in records]
+    values = [
+        (moment, *[record.get(field.name) for field in fields[1:]])
+        for moment, record in zip(moments, records)
+    ]
+    rows = spark.createDataFrame(values, T.StructType(fields))
+    return append_rows(spark, table, with_business_date(rows))
+
+
+def _utc(moment: dt.datetime, kind: T.DataType) -> dt.datetime:
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=dt.timezone.utc)
+    naive = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return naive if isinstance(kind, T.TimestampNTZType) else moment
 
 
 def truncate(spark: SparkSession, table: str) -> None:

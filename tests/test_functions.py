@@ -91,6 +91,7 @@ def test_safe_int(spark):
         "-0X00000000000000000001f": -31,
         "0x": None,
         "0xZZ": None,
+        "0x1F\n": None,
         "0x7FFFFFFFFFFFFFFF": 2**63 - 1,
         "0xFFFFFFFFFFFFFFFF": None,
         "0x1FFFFFFFFFFFFFFFF": None,
@@ -195,7 +196,7 @@ def test_date_range(spark):
 def test_is_valid_date(spark):
     good = ["2025-03-22", "2025-01-01", "2025-12-31", "2024-02-29"]
     bad = ["", "invalid", "2025/03/22", "2025-3-22", "2025-03-32", "2025-13-01", "2025-02-30"]
-    bad += ["2025-03-22\n", " 2025-03-22", None]
+    bad += ["2025-03-22\n", " 2025-03-22", "0999-01-01", None]
     got = evaluate(spark, good + bad, X, times.is_valid_date(col()))
     assert got == [True] * len(good) + [False] * len(bad)
 

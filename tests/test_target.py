@@ -117,17 +117,26 @@ SAMPLES = [
 ]
 
 
-def test_records(spark, table):
+@pytest.mark.parametrize("kind", [T.TimestampType(), T.TimestampNTZType()])
+@pytest.mark.parametrize("zone", [None, dt.timezone.utc, dt.timezone(dt.timedelta(hours=9))])
+def test_records(spark, kind, zone):
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    target.ensure_table(spark, table, kind)
     records = []
     for moment, *rest in SAMPLES:
         stamp = dt.datetime.fromisoformat(moment)
-        day = (stamp + dt.timedelta(hours=9)).date()
-        records.append(dict(zip(TARGET_COLUMNS, [stamp, *rest, day])))
+        if zone:
+            stamp = stamp.replace(tzinfo=dt.timezone.utc).astimezone(zone)
+        records.append(dict(zip(TARGET_COLUMNS, [stamp, *rest])))
     assert target.append_records(spark, table, []) == 0
     assert target.append_records(spark, table, records) == 3
-    assert target.count_days(spark, table, D23, D23) == {D23: 3}
+    assert target.count_days(spark, table, D22, D23) == {D22: 0, D23: 3}
+    text = F.col("timestamp_hourly").cast("string")
+    stored = spark.table(table).select(text, *TARGET_COLUMNS[1:-1]).collect()
+    assert sorted(map(tuple, stored)) == sorted(SAMPLES)
     target.truncate(spark, table)
     assert target.count_days(spark, table, D23, D23) == {D23: 0}
+    spark.sql(f"DROP TABLE {table}")
 
 
 def test_files_of_a_day_are_clustered(spark, table):
