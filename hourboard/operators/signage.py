@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from hourboard.functions import hours
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-SALTS = 32
+
+# In a shuffled join the device table is repeated up to MAX_SALTS times, but not beyond this size.
+MAX_SALTS = 32
+REPEATED_LIMIT_BYTES = 16 * 1024 * 1024 * 1024
 
 # In-memory cost of a hashed row beyond its text, and of one per-minute array.
 ROW_BYTES = 64
@@ -124,18 +127,27 @@ def _folded_by_minute(listings: DataFrame) -> DataFrame:
 def join_hours(plays: DataFrame, devices: DeviceHours, broadcast: bool) -> DataFrame:
     """Left join of plays to their device's hours; never changes the number of rows.
 
-    A broadcast leaves the plays where they are. Otherwise both sides are shuffled by device and a
-    salt drawn from the play, so that neither one busy device nor the plays without a device all
-    land in one task; the device table is repeated once per salt.
+    A broadcast leaves the plays where they are. Otherwise both sides are shuffled by device and
+    salt. Plays without a device match nothing and take any salt, so they spread evenly. A busy
+    device spreads over as many tasks as there are salts, and the device table is repeated once
+    per salt. The salt is also what keeps the counting that follows from reusing the shuffle by
+    device, so adaptive execution remains free to cut an oversized partition further.
     """
     on = F.col("device_id") == F.col("device")
     if broadcast:
         return plays.join(F.broadcast(devices.frame), on, "left")
-    salted = plays.withColumn("salt", F.pmod(F.xxhash64(*plays.columns), F.lit(SALTS)))
-    copies = devices.frame.withColumn(
-        "device_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salts = salt_count(devices.size_bytes)
+    drawn = F.xxhash64(*plays.columns)
+    salt = F.when(F.col("device_id").isNull(), drawn).otherwise(F.pmod(drawn, F.lit(salts)))
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
+    repeated = devices.frame.withColumn("device_salt", F.explode(all_salts))
+    return plays.withColumn("salt", salt).join(
+        repeated.hint("merge"), on & (F.col("salt") == F.col("device_salt")), "left"
     )
-    return salted.join(copies.hint("merge"), on & (F.col("salt") == F.col("device_salt")), "left")
+
+
+def salt_count(size_bytes: int) -> int:
+    return max(1, min(MAX_SALTS, REPEATED_LIMIT_BYTES // max(1, size_bytes)))
 
 
 def listing_weight() -> Column:

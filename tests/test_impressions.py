@@ -227,3 +227,39 @@ def test_repeated_listings_do_not_multiply_rows(spark):
         ).agg(F.count("*"), F.sum("rows"), F.sum("open"))
         open_listings = listings.where("opening_time <= '18:00'").count()
         assert tuple(total.first()) == (1000, 1000 * 30_000, 1000 * open_listings)
+
+
+def test_salts_shrink_as_the_device_table_grows():
+    assert [signage_ops.salt_count(2**n) for n in (0, 20, 29, 30, 33, 34, 40)] == [
+        32,
+        32,
+        32,
+        16,
+        2,
+        1,
+        1,
+    ]
+
+
+@pytest.mark.parametrize("size", [2**20, 2**40])
+def test_salted_join_keeps_every_row(spark, size):
+    frame = spark.range(200).select(
+        F.concat(F.lit("d"), "id").alias("device"),
+        F.lit(1).cast("bigint").alias("listings"),
+        F.lit(0).alias("opens"),
+        F.lit(1440).alias("closes"),
+        F.lit(None).cast("array<bigint>").alias("open_by_minute"),
+    )
+    devices = signage_ops.DeviceHours(frame, size, 540, 1260)
+    device = F.expr("CASE id % 3 WHEN 0 THEN 'd7' WHEN 1 THEN 'd' || id % 400 END")
+    plays = spark.range(6000).select(device.alias("device_id"), F.lit(600).alias("minute"), "id")
+    joined = signage_ops.join_hours(plays, devices, broadcast=False)
+    assert joined.count() == joined.select("id").distinct().count() == 6000
+    expected = plays.join(frame, F.col("device_id") == F.col("device")).count()
+    assert joined.where("listings = 1").count() == expected
+    spread = joined.where("device_id IS NULL").select("salt").distinct().count()
+    assert spread > 1000
+    # The counting after the join must not lean on the shuffle by device.
+    counted = joined.groupBy("device_id", "minute").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(device_id#" in plan.split("SortMergeJoin")[0]
