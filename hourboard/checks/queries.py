@@ -155,7 +155,7 @@ def tracking_filter(spark, sf_dir):
 
 @query("safe_cast")
 def safe_cast(spark, sf_dir):
-    """Trailing path segments of pages (numbers, file names) and padded, signed or long event ids."""
+    """Trailing path segments of pages (numbers, file names); signed, long and spoilt event ids."""
     pages = testbed.read(spark, sf_dir, "pages").select(
         F.regexp_extract("url", "/([^/?#]*)/?([?#].*)?$", 1).alias("text")
     )
