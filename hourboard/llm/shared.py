@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 #: Keys that hold more than one row in so many are broadcast, so there are at most so many of them.
 HOT_SHARE = 1000
-#: Rows in an Arrow batch for Python stages; a batch of texts stays within some tens of MB.
-BATCH_ROWS = 4096
+#: Most rows in an Arrow batch for Python stages, so that a batch of texts stays within some tens of MB.
+BATCH_ROWS = 2048
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -40,7 +41,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, if it is not installed."""
+    """Lets Python workers import this package from where the driver has it, and get batches of bounded size."""
+    if not 0 < int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
