@@ -34,8 +34,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language was found."""
     on_workers(spark)
-    found = language_id.identify(docs, language_id.learn(docs))
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    found = language_id.identify(docs, language_id.learn(docs), names=("_lang_pred", "_score"))
+    return found.where(F.col("_lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,8 +83,9 @@ class SuffixAutomaton:
         for letter in text:
             following = state.get(letter)
             if following is None:
-                found += 1
+                found += state is not start
                 following = start.get(letter)
+                found += following is None
             state = start if following is None else nexts[following]
         return found + (state is not start)
 
@@ -160,22 +161,25 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return {lang: sorted(found) for lang, found in learned.items()}
 
 
-def identify(docs: DataFrame, learned: dict[str, list[str]], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
+def identify(
+    docs: DataFrame, learned: dict[str, list[str]], text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with the prediction and its score in two columns of these ``names``, which replace any there are."""
     shared = docs.sparkSession.sparkContext.broadcast(learned)  # at most MAX_WORDS words a language
     text_at = docs.columns.index(text_col)
+    others = [k for k, column in enumerate(docs.columns) if column not in names]
+    schema = docs.select(*[docs.columns[k] for k in others], F.lit("").alias(names[0]), F.lit(0.0).alias(names[1])).schema
 
     def predict(batches):
         parser = None
         for batch in slices(batches):
             parser = parser or CrossParser(shared.value)
-            names, scores = parser.predict(batch.column(text_at))
+            predicted, scores = parser.predict(batch.column(text_at))
             yield pa.record_batch(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
+                [*(batch.column(k) for k in others), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
+                schema.names,
             )
 
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return docs.mapInArrow(predict, schema)
 
 

@@ -133,10 +133,13 @@ def threshold(judged: DataFrame) -> DataFrame:
     )
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)  # at most 2 * LIMIT * STEPS + 1 rows
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hits = F.coalesce(F.sum("no").over(below), F.lit(0)) / F.sum("no").over(whole) + 1 - (
-        F.coalesce(F.sum("yes").over(below), F.lit(0)) / F.sum("yes").over(whole)
-    )
-    return bins.select("step", hits.alias("hits")).agg(
+
+    def share(kind: str) -> Column:
+        """Of a kind's urls, those below; null if there are none of the kind."""
+        return F.try_divide(F.coalesce(F.sum(kind).over(below), F.lit(0)), F.sum(kind).over(whole))
+
+    hits = bins.select("step", (share("no") + 1 - share("yes")).alias("hits")).where("hits is not null")
+    return hits.agg(
         F.coalesce(F.max_by("step", F.struct("hits", -F.abs("step"))) / STEPS, F.lit(0.0)).alias("cut")
     )
 

@@ -1,0 +1,453 @@
+"""The operators on documents against brute force, over odd rows and a small table."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import public_tokenizers
+import tiktoken
+from tokenizers import Tokenizer
+
+from __spark_entry__ import queries
+from hourboard.llm import byte_bpe, exact_dedup, language_id, near_dedup, packing, quality, token_files, word_ids
+
+SMALL = "/root/testdata/sf0.001"
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Columns that operators might use themselves.
+CLASHING = "id key digest mark n copies label cluster block row slot kept score start piece group bin".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and long texts, repeated rows, ties, and clashing names."""
+    random.seed(7)
+    long_text = " ".join(random.choice("the of ing and thrond élan 12 don't I'll ... ### 日本 😀 ".split()) for _ in range(30_000))
+    texts = [
+        (1, "The same text, twice over."), (2, "The same text, twice over."), (3, None), (4, ""), (5, " \t\n"),
+        (6, long_text), (7, "x" * 150_000), (8, long_text), (None, "The same text, twice over."), (None, None),
+        (9, "a b"), (10, "A  B"), (11, "\x85 J̌ ǰ ΑΣ <|endoftext|> \u00a0 'll"), (11, "\x85 J̌ ǰ ΑΣ <|endoftext|> \u00a0 'll"),
+        (12, "1234 !!! ---"), (-5, "un deux trois"), (13, long_text[:5000]), (14, "   lead and trail   "),
+    ]
+    rows = [(i, t, [None, "en", "fr"][k % 3], None, None, *[None] * len(CLASHING)) for k, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks_of(RANKS), special_tokens={}
+    )
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    found = Tokenizer.from_file(WORDS)
+    found.encode_special_tokens = True
+    return found
+
+
+def word_tokens(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+# Byte-level BPE
+
+
+@pytest.mark.parametrize("chunk, overlap", [(byte_bpe.CHUNK, byte_bpe.OVERLAP), (1000, 64), (50, 20)])
+def test_bpe_encodes_as_the_library(odd, encoding, chunk, overlap):
+    found = byte_bpe.bpe_decode(byte_bpe.bpe_encode(odd, RANKS, chunk=chunk, overlap=overlap), RANKS).collect()
+    ids = [np.array(encoding.encode_ordinary(r.text or ""), "<u4").tobytes() for r in odd.collect()]
+    expected = Counter((r.doc_id, i, (r.text or "").encode()) for r, i in zip(odd.collect(), ids, strict=True))
+    assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in found) == expected
+
+
+def test_bpe_cuts_long_texts_where_chunks_meet(spark):
+    text = "some words, 'twas told; " * 100
+    chunks = spark.createDataFrame([("t", k, text[k * 500 : k * 500 + 600]) for k in range(5)], "digest string, chunk int, part string")
+    (row,) = byte_bpe.cuts(chunks, public_tokenizers.PATTERN, 500, 100).collect()
+    assert len(row.cuts) == 5 and row.cuts[0] == 0
+    assert all(500 * k <= cut < 500 * k + 100 for k, cut in enumerate(row.cuts))
+
+
+def test_bpe_query(spark, small, encoding):
+    found = {r.doc_id: r for r in queries()["op1_byte_bpe"](spark, SMALL).collect()}
+    assert len(found) == len(small)
+    for doc_id, text, _ in small:
+        ids = encoding.encode_ordinary(text or "")
+        listed = " ".join(map(str, ids)).encode()
+        assert found[doc_id].n_tokens == len(ids)
+        assert found[doc_id].ids_sha256 == hashlib.sha256(listed).hexdigest()
+        assert found[doc_id].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_bpe_of_nothing(none):
+    assert byte_bpe.bpe_encode(none, RANKS).count() == 0
+
+
+# Ids by words
+
+
+def test_word_ids_equal_the_library(odd, small, tokenizer):
+    texts = [r.text for r in odd.collect()] + [text for _, text, _ in small]
+    ids, counts = word_ids.WordEncoder(WORDS).encode(pa.array(texts, pa.string()))
+    expected = [word_tokens(tokenizer, t) for t in texts]
+    assert counts.tolist() == list(map(len, expected))
+    assert ids.tolist() == [i for x in expected for i in x]
+
+
+def test_word_ids_after_forgetting(monkeypatch, small, tokenizer):
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 300)
+    encoder = word_ids.WordEncoder(WORDS)
+    for _, text, _ in small[:40]:
+        assert encoder.encode(pa.array([text]))[0].tolist() == word_tokens(tokenizer, text)
+
+
+# Token files
+
+
+def expected_tokens(rows, tokenizer):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    start, found = 0, []
+    for doc_id, text in rows:
+        ids = [*word_tokens(tokenizer, text), token_files.END_ID]
+        found.append((doc_id, start, len(ids), crc(ids)))
+        start += len(ids)
+    return found
+
+
+def test_token_files(spark, odd, tokenizer, tmp_path):
+    parts = token_files.write_tokens(odd, str(tmp_path / "t"), WORDS)
+    found = [tuple(r) for r in token_files.read_tokens(spark, str(tmp_path / "t"), parts).collect()]
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    expected = expected_tokens(rows, tokenizer)
+    assert Counter((d, n, c) for d, _, n, c in found) == Counter((d, n, c) for d, _, n, c in expected)
+    found.sort(key=lambda r: r[1])
+    assert [d for d, *_ in found] == [d for d, *_ in expected]
+    assert [s for _, s, _, _ in found] == np.cumsum([0] + [n for _, _, n, _ in found])[:-1].tolist()
+
+
+def test_token_files_can_be_written_again(spark, odd, tmp_path):
+    first = token_files.write_tokens(odd, str(tmp_path), WORDS)
+    assert token_files.write_tokens(odd, str(tmp_path), WORDS) == first
+    assert all(not re.search(r"\.\d+$", p.name) for p in tmp_path.iterdir())
+
+
+def test_token_files_query(spark, small, tokenizer):
+    found = {tuple(r) for r in queries()["op8_token_files"](spark, SMALL).collect()}
+    assert found == set(expected_tokens([(d, t) for d, t, _ in small], tokenizer))
+
+
+def test_token_files_need_a_mounted_folder():
+    assert token_files.mounted("file:///a/b") == "/a/b"
+    with pytest.raises(ValueError, match="mounted"):
+        token_files.mounted("hdfs://host/a")
+
+
+def test_token_files_of_nothing(spark, none, tmp_path):
+    parts = token_files.write_tokens(none, str(tmp_path), WORDS)
+    assert parts == [] and token_files.read_tokens(spark, str(tmp_path), parts).count() == 0
+
+
+# Packing
+
+
+def check_packing(found, rows, tokenizer):
+    pieces = Counter()
+    for doc_id, text in rows:
+        ids = [*word_tokens(tokenizer, text), packing.END_ID]
+        for k, at in enumerate(range(0, len(ids), 4096)):
+            pieces[doc_id, k, at, len(ids[at : at + 4096]), crc(ids[at : at + 4096])] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == pieces
+    filled = {}
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 4096
+    return len(filled), -(-sum(filled.values()) // 4096)
+
+
+def test_packing(odd, tokenizer):
+    found = packing.pack(packing.pieces(odd, WORDS)).collect()
+    used, least = check_packing(found, [(r.doc_id, r.text) for r in odd.collect()], tokenizer)
+    assert used <= least + 1
+
+
+def test_packing_joins_open_sequences_of_groups(monkeypatch, spark, small, tokenizer):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 20)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    found = packing.pack(packing.pieces(docs, WORDS)).collect()
+    used, least = check_packing(found, [(d, t) for d, t, _ in small], tokenizer)
+    assert used <= 1.05 * least + 1
+
+
+def test_packing_query(spark, small, tokenizer):
+    used, least = check_packing(queries()["op6_packing"](spark, SMALL).collect(), [(d, t) for d, t, _ in small], tokenizer)
+    assert used <= least + 2
+
+
+def test_packing_of_nothing(none):
+    assert packing.pack(packing.pieces(none, WORDS)).count() == 0
+
+
+def test_sum_of_squares_places_where_the_squares_are_smallest():
+    # With one sequence open at gap 4, a piece of 3 makes the squares 1 by going there, 2 in a new one.
+    sequence, offset = packing.sum_of_squares(np.array([6, 3]), 10)
+    assert sequence.tolist() == [0, 0] and offset.tolist() == [0, 6]
+    sequence, _ = packing.sum_of_squares(np.array([10, 10, 5, 5]), 10)
+    assert sequence.tolist() == [0, 1, 2, 2]
+
+
+# Exact dedup
+
+
+def test_exact_dedup(odd):
+    rows = [(r.doc_id, r.text or "") for r in odd.collect()]
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(text, []).append(doc_id)
+    expected = Counter()
+    for doc_id, text in rows:
+        ids = groups[text]
+        keep = max((i for i in ids if i is not None), default=None)
+        expected[doc_id, keep, len(ids), doc_id == keep, hashlib.sha256(text.encode()).hexdigest()] += 1
+    assert Counter(map(tuple, exact_dedup.exact_dedup(odd).collect())) == expected
+    left = exact_dedup.survivors(odd)
+    assert left.columns == odd.columns
+    kept = {(max((i for i in ids if i is not None), default=None), text) for text, ids in groups.items()}
+    assert Counter((r.doc_id, r.text or "") for r in left.collect()) == Counter(kept)
+
+
+def test_exact_dedup_of_nothing(none):
+    assert exact_dedup.exact_dedup(none).count() == 0
+    assert exact_dedup.survivors(none).count() == 0
+
+
+def test_directory_splits_overfull_buckets_only(spark):
+    # All keys but one begin with bits 00, so that side alone is split, and the whole doubled with it.
+    keys = spark.range(100).selectExpr("id << 55 AS key").union(spark.sql("SELECT -1L AS key"))
+    found = {r.slot: (r.bucket, r.depth) for r in exact_dedup.directory(keys, capacity=40, max_depth=6).collect()}
+    loads = Counter(found[(k << 55) >> 58][0] for k in range(100))
+    assert max(loads.values()) <= 40
+    assert found[63][1] == 1 and max(depth for _, depth in found.values()) > 2
+
+
+def test_colliding_hashes_are_told_apart(monkeypatch, spark):
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *_: exact_dedup.F.lit(42).cast("long"))
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, text string")
+    found = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(docs).collect()}
+    assert found == {1: (3, 2), 2: (2, 1), 3: (3, 2)}
+
+
+# Language
+
+
+def test_automaton_knows_all_substrings():
+    text = "abcbcabaabbbc"
+    automaton = language_id.SuffixAutomaton(text)
+    parts = {text[a:b] for a in range(len(text)) for b in range(a + 1, len(text) + 1)}
+    random.seed(1)
+    for _ in range(300):
+        query = "".join(random.choice("abcd") for _ in range(random.randint(0, 12)))
+        count, at = 0, 0
+        while at < len(query):
+            size = 1
+            while at + size < len(query) and query[at : at + size + 1] in parts:
+                size += 1
+            count, at = count + 1, at + size
+        assert automaton.phrases(query) == count
+
+
+def test_language_of_odd_rows(odd, none):
+    found = language_id.identify(odd, {"en": ["same", "text", "the", "words"], "fr": ["deux", "trois", "un"]}).collect()
+    assert len(found) == odd.count()
+    for r in found:
+        has_letter = bool(re.search(r"[^\W\d_]", r.text or ""))
+        assert (r.lang_pred == "und") == (not has_letter)
+        assert 0 <= r.score <= 1
+    assert {r.lang_pred for r in found if r.doc_id == -5} == {"fr"}
+    assert {r.lang_pred for r in found if r.doc_id == 1} == {"en"}
+    assert {r.lang_pred for r in language_id.identify(odd, {}).collect()} == {"und"}
+    assert {r.score for r in language_id.identify(odd, {"en": ["the"]}).collect()} == {0.0, 1.0}
+    assert language_id.language_id(none).count() == 0
+    assert language_id.language_id(odd).count() == odd.count()
+
+
+def test_language_query(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = queries()["op9_language_id"](spark, sf).collect()
+    assert {r.doc_id for r in found} == set(labels)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    held_out = [r for r in found if r.held_out]
+    assert sum(r.lang_pred == labels[r.doc_id] for r in held_out) >= 0.97 * len(held_out)
+
+
+# Near copies
+
+
+def shingles(text, width):
+    lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    words = re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().translate(lower))
+    if len(words) < width:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k : k + width]) for k in range(len(words) - width + 1))
+
+
+def check_near(found, rows, percent, width):
+    sets = [shingles(text, width) for _, text in rows]
+    label = {}
+
+    def root(x):
+        while label.setdefault(x, x) != x:
+            x = label[x]
+        return x
+
+    by_set = {}
+    for k, s in enumerate(sets):
+        if s:
+            by_set.setdefault(s, []).append(k)
+    for own in by_set.values():
+        for k in own[1:]:
+            label[root(k)] = root(own[0])
+    different = sorted(by_set, key=len)
+    for i, a in enumerate(different):
+        for b in different[i + 1 :]:
+            if 100 * len(a) < percent * len(b):
+                break
+            common = len(a & b)
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                label[root(by_set[b][0])] = root(by_set[a][0])
+    least = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(k)] = min(least.get(root(k), doc_id), doc_id)
+    expected = Counter()
+    for k, (doc_id, _) in enumerate(rows):
+        component = least.get(root(k)) if sets[k] else doc_id
+        expected[doc_id, len(sets[k]), component, doc_id == component] += 1
+    assert Counter(map(tuple, found)) == expected
+
+
+@pytest.mark.parametrize("percent, width", [(80, 5), (85, 3)])
+def test_near_dedup_of_odd_rows(odd, none, percent, width):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    check_near(near_dedup.near_dedup(odd, percent, width).collect(), rows, percent, width)
+    assert near_dedup.near_dedup(none, percent, width).count() == 0
+
+
+def test_near_dedup_of_large_groups(monkeypatch, spark):
+    """Groups beyond a node and a block: edited copies of one text, chains, and texts with a common passage."""
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    random.seed(3)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(5))
+    base, passage = [word() for _ in range(120)], [word() for _ in range(60)]
+    texts = []
+    for _ in range(90):  # copies with a few words changed, some nearer to the limit than others
+        copy = list(base)
+        for _ in range(random.randint(0, 5)):
+            copy[random.randrange(len(copy))] = word()
+        texts.append(copy)
+    chain = [word() for _ in range(200)]
+    for _ in range(30):
+        chain = [*chain[6:], *[word() for _ in range(6)]]
+        texts.append(chain)
+    texts += [[*passage, *[word() for _ in range(60)]] for _ in range(40)]
+    texts += [[word() for _ in range(50)] for _ in range(40)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    random.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_near(near_dedup.near_dedup(docs, 85, 3).collect(), rows, 85, 3)
+
+
+def test_near_dedup_query(spark, small):
+    check_near(queries()["op10_near_dedup"](spark, SMALL).collect(), [(d, t) for d, t, _ in small], 85, 3)
+
+
+# Quality
+
+
+def test_grams():
+    grams, counts = quality.grams_of(["a1", "", " \n\tb"])
+    code = lambda *cs: sum(ord(c) << (16 * k) for k, c in enumerate(reversed(cs)))
+    s, e = chr(quality.START), chr(quality.END)
+    assert counts.tolist() == [3, 1, 3]
+    assert grams.tolist() == [
+        code(s, s, s, "a"), code(s, s, "a", "0"), code(s, "a", "0", e), code(s, s, s, e),
+        code(s, s, s, " "), code(s, s, " ", "b"), code(s, " ", "b", e),
+    ]
+
+
+def test_kneser_ney_equals_a_plain_one_and_sums_to_one(spark):
+    texts = ["abracadabra", "abba", "cadab", "barbara"] * 3 + ["rab", "dab", "abcd", "bad", "cab", "bard"]
+    counts = quality.counted(spark.createDataFrame([(t,) for t in texts], "text string"))
+    plain = Counter(quality.grams_of(texts)[0].tolist())
+    tables = {4: dict(plain)}
+    for order in (3, 2, 1):
+        tables[order] = dict(Counter(g & ((1 << 16 * order) - 1) for g in tables[order + 1]))
+    cuts = {o: quality.discounts(*[sum(n == k for n in t.values()) for k in range(1, 5)]) for o, t in tables.items()}
+
+    def p(gram, order):
+        if not order:
+            return 1 / (len(tables[1]) + 1)
+        own = gram & ((1 << 16 * order) - 1)
+        same = {g: n for g, n in tables[order].items() if g >> 16 == own >> 16}
+        if not same:
+            return p(gram, order - 1)
+        cut = {g: cuts[order][min(n, 3) - 1] for g, n in same.items()}
+        first = same[own] - cut[own] if own in same else 0
+        return (first + sum(cut.values()) * p(gram, order - 1)) / sum(same.values())
+
+    contexts = {g >> 16 for g in plain} | {(ord("z") << 32) + (ord("a") << 16) + ord("b")}
+    letters = sorted(tables[1]) + [ord("?")]
+    grams = [(c << 16) | x for c in contexts for x in letters]
+    found = quality.log_probabilities(counts, spark.createDataFrame([(g,) for g in grams], "gram long")).collect()
+    sums = Counter()
+    for r in found:
+        assert np.exp(r.log_p) == pytest.approx(p(r.gram, 4), rel=1e-9)
+        sums[r.gram >> 16] += np.exp(r.log_p)
+    assert all(total == pytest.approx(1, rel=1e-9) for total in sums.values())
+
+
+def test_quality_of_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(1, 1), (6, 1), (9, 0), (None, 1), (13, 1), (1, 1)], "doc_id long, quality int")
+    found = quality.quality(odd, labels).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r.doc_id for r in odd.collect())
+    blank = {3, 4, 5}
+    assert all((r.perplexity is None) == (r.doc_id in blank) for r in found if r.doc_id is not None)
+    assert not any(r.kept for r in found if r.doc_id in blank)
+    assert quality.quality(none, labels).count() == 0
+    untaught = quality.quality(odd, labels.limit(0)).collect()
+    assert all(r.kept == (r.perplexity is not None) for r in untaught)
+
+
+def test_quality_query(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    found = queries()["op2_quality"](spark, sf).collect()
+    assert len(found) == 1000
+    good = [r.kept for r in found if labels.get(r.doc_id) == 1]
+    bad = [r.kept for r in found if labels.get(r.doc_id) == 0]
+    assert sum(good) >= 0.99 * len(good)
+    assert sum(bad) <= 0.3 * len(bad)
