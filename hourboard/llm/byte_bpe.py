@@ -2,7 +2,7 @@
 
 A long text is cut into chunks that overlap. Each chunk is pre-tokenised by itself. Where a pre-token
 boundary of a chunk coincides, within the overlap, with one of the chunk before, both agree from there
-on, for a match depends only on what follows its start; the texts is cut at the first such place. The
+on, for a match depends only on what follows its start; the text is cut at the first such place. The
 pieces between cuts are encoded in parallel and their ids concatenated. Where two chunks do not
 meet (a pre-token longer than the overlap), the text is not cut from there on. A text no longer than
 a chunk is one piece and is not moved.
@@ -108,7 +108,7 @@ def encode_long(texts: DataFrame, path: str, pattern: str, chunk: int = CHUNK, o
 
     def encode(batch):
         encoder = encoding(path, pattern)
-        ids = [np.array(encoder.encode_ordinary(x), "<u4").tobytes() for x in batch.column(2).to_pylist()]
+        ids = [np.array(encoder.encode_ordinary(x.as_py()), "<u4").tobytes() for x in batch.column(2)]
         return [batch.column(0), batch.column(1), pa.array(ids, pa.binary())]
 
     encoded = mapped(pieces.repartition(parts, "digest", "piece"), encode, "digest string, piece int, ids binary")
@@ -133,7 +133,7 @@ def bpe_encode(
 
     def encode(batch):
         encoder = encoding(path, pattern)
-        ids = [np.array(encoder.encode_ordinary(x), "<u4").tobytes() for x in batch.column(1).to_pylist()]
+        ids = [np.array(encoder.encode_ordinary(x.as_py()), "<u4").tobytes() for x in batch.column(1)]
         return [batch.column(0), pa.array(ids, pa.binary())]
 
     short = mapped(rows.where(F.length("text") <= chunk), encode, f"{id_col} long, ids binary")
@@ -145,37 +145,46 @@ def bpe_encode(
     return short.unionByName(join_unique(names, encoded, ["digest"], "n", names.count()).select(id_col, "ids"))
 
 
+def decoder(path: str):
+    """The function from ids, as bytes, to the raw bytes they stand for."""
+    tokens = {rank: token for token, rank in ranks_of(path).items()}
+    return lambda ids: b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``: the raw bytes its ids stand for."""
     at = encoded.columns.index(ids_col)
     schema = encoded.select("*", F.lit(b"").alias("decoded")).schema
 
     def decode(batches):
-        tokens = {rank: token for token, rank in ranks_of(path).items()}
+        raw = decoder(path)
         for batch in slices(batches):
-            raw = [b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in batch.column(at).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(raw, pa.binary())], [*batch.schema.names, "decoded"])
+            found = pa.array([raw(x.as_py()) for x in batch.column(at)], pa.binary())
+            yield pa.record_batch([*batch.columns, found], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(decode, schema)
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    decoded = bpe_decode(bpe_encode(read(spark, sf_dir, "documents"), path), path)
+    encoded = bpe_encode(read(spark, sf_dir, "documents"), path)
 
     def digests(batches):
-        words = [str(i) for i in range(max(ranks_of(path).values()) + 1)]
+        # Decodes as bpe_decode does, row by row, so that no decoded text leaves the task.
+        raw = decoder(path)
+        words = [str(i).encode() for i in range(max(ranks_of(path).values()) + 1)]
+
+        def row(ids: bytes) -> tuple[int, str, str]:
+            numbers = np.frombuffer(ids, "<u4").tolist()
+            listed = hashlib.sha256(b" ".join(map(words.__getitem__, numbers))).hexdigest()
+            return len(numbers), listed, hashlib.sha256(raw(ids)).hexdigest()
+
         for batch in slices(batches):
-            names, ids, raw = batch.columns
-            ids = [np.frombuffer(x, "<u4").tolist() for x in ids.to_pylist()]
-            listed = (" ".join(map(words.__getitem__, x)).encode() for x in ids)
+            found = [row(x.as_py()) for x in batch.column(1)]
+            columns = [[x[k] for x in found] for k in range(3)]
             yield pa.record_batch(
-                {
-                    "doc_id": names,
-                    "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x in listed],
-                    "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in raw.to_pylist()],
-                }
+                [batch.column(0), pa.array(columns[0], pa.int64()), *(pa.array(x, pa.string()) for x in columns[1:])],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return decoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
