@@ -3,6 +3,7 @@
     run [--date D]                     load one day, yesterday in Tokyo when left out
     run-range --start-date D [--end-date D]
     reprocess --date YYYY-MM-DD
+    import-signage --sheet PATH --table T    copy a CSV sheet to a signage table
 
 Prints the run log as JSON lines and the summary after it. Exits with 0 when every day succeeded,
 2 when only some did, 1 otherwise.
@@ -15,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from hourboard.jobs import ArgumentError, ImpressionJob, run_summary
 from hourboard.sinks.environments import get_environment
-from hourboard.sources.readers import read_requests, read_signage, read_signage_csv
+from hourboard.sources.readers import import_signage, read_requests, read_signage, read_signage_csv
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,8 +24,10 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--requests", required=True, help="request log: table, or path")
     common.add_argument("--requests-format", help="file format, when --requests is a path")
     common.add_argument("--log-date", help="UTC date column the log is partitioned by")
-    common.add_argument("--signage", required=True, help="signage: table, or path of a CSV sheet")
+    common.add_argument("--signage", required=True, help="signage: table, or path of a sheet")
+    common.add_argument("--signage-format", choices=("table", "csv"), default="table")
     common.add_argument("--environment", help="development, staging or production")
+    common.add_argument("--database", help="database of the target, instead of the environment's")
     common.add_argument("--catalog", help="catalog of the target table")
     common.add_argument("--table", help="target table, instead of the environment's")
 
@@ -35,15 +38,21 @@ def parser() -> argparse.ArgumentParser:
     span = commands.add_parser("run-range", parents=[common])
     span.add_argument("--start-date")
     span.add_argument("--end-date")
+    sheet = commands.add_parser("import-signage")
+    sheet.add_argument("--sheet", required=True, help="path of a CSV sheet")
+    sheet.add_argument("--table", required=True, help="signage table to replace")
     return top
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("hourboard").getOrCreate()
+    if args.command == "import-signage":
+        import_signage(spark, args.sheet, args.table)
+        return 0
     try:
-        environment = get_environment(args.environment, args.catalog)
-        is_sheet = args.signage.lower().endswith(".csv")
+        environment = get_environment(args.environment, args.catalog, args.database)
+        is_sheet = args.signage_format == "csv"
         job = ImpressionJob(
             spark,
             read_requests(spark, args.requests, args.requests_format, args.log_date),

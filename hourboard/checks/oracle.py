@@ -3,6 +3,8 @@
 from hourboard.checks import testbed
 from hourboard.checks.queries import FORMATS, PARAMS
 
+# The parameters that are numbers.
+NUMBERS = ("mediumId", "storeId", "programId", "sequence", "creativeId", "deliveryId")
 KEYS = (
     "timestamp_hourly, mediumId, storeId, device_id, programId, sequence, creativeId, deliveryId"
 )
@@ -59,9 +61,7 @@ def _groups(
 ) -> str:
     """CTEs up to ``grp``: every group with both measures."""
     numbers = ", ".join(
-        f"TRY_CAST({_param(key)} AS BIGINT) AS {key}"
-        for key in PARAMS
-        if key.endswith("Id") and key != "networkId" or key == "sequence"
+        f"TRY_CAST({_param(key)} AS BIGINT) AS {key}" for key in NUMBERS
     )
     return f"""WITH {log}, {signage},
       plays AS (
@@ -99,6 +99,8 @@ ORACLE: dict[str, str] = {
     "hourly_impressions_hours": _impressions(
         BUSY, ONCE, start=8, end=19, opening="10:00", closing="18:30"
     ),
+    "hourly_impressions_instants": _impressions(BUSY, ONCE),
+    "stored_log_impressions": _impressions(BUSY, ONCE),
     "hourly_impressions_devices": _impressions(WIDE, ONCE),
     "hourly_impressions_shuffled": _impressions(WIDE, ONCE),
     "signage_fanout": _impressions(WIDE, AGAIN),
@@ -125,6 +127,9 @@ ORACLE: dict[str, str] = {
     "day_window": f"""SELECT event_id, ts FROM events
         WHERE {_within("(ts + INTERVAL 9 HOUR)", "2024-01-01", "2024-01-31", 8, 19)}""",
     "hour_bucket": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1",
+    "hour_buckets_pair": """SELECT event_id, date_trunc('hour', ts) AS hour,
+        CASE WHEN event_type <> 'view' THEN date_trunc('hour', ts + INTERVAL 9 HOUR) END
+          AS local_hour FROM events""",
     "local_hhmm": """SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%H:%M') AS hm,
         CAST(hour(ts + INTERVAL 9 HOUR) * 60 + minute(ts) AS INTEGER) AS minute,
         strftime(ts + INTERVAL 9 HOUR, '%H') AS hh FROM events""",
@@ -184,6 +189,21 @@ ORACLE: dict[str, str] = {
     "replace_range_backward": TARGET,
     "empty_day_clear": TARGET + f" AND {DT} <> DATE '2024-01-10'",
     "append_rows": TARGET,
+    "replace_days_in_parallel": TARGET,
+    "clear_then_append": TARGET
+    + f" AND ({DT} <> DATE '2024-01-10' OR hour(timestamp_hourly + INTERVAL 9 HOUR) < 12)",
+    "truncate_and_reload": TARGET + f" AND {DT} <= DATE '2024-01-10'",
+    "run_default": TARGET + f" AND {DT} = DATE '2024-01-10'",
+    "run_range_partial": _groups(BUSY, ONCE)
+    + f"""SELECT CAST(day AS DATE) AS process_date, day <> DATE '2024-01-10' AS success,
+        CASE WHEN day <> DATE '2024-01-10' THEN count(timestamp_hourly) END AS row_count,
+        CASE WHEN day = DATE '2024-01-10' THEN 'unreadable' END AS error
+        FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-12', INTERVAL 1 DAY) d(day)
+        LEFT JOIN grp ON {DT} = CAST(day AS DATE) AND imp > 0 GROUP BY day""",
+    "run_summary_partial": _groups(BUSY, ONCE)
+    + f"""SELECT FALSE AS success, DATE '2024-01-01' AS start_date, DATE '2024-01-12' AS end_date,
+        count(*) AS total_row_count, '2024-01-10' AS failed_dates FROM grp
+        WHERE imp > 0 AND {DT} <= DATE '2024-01-12' AND {DT} <> DATE '2024-01-10'""",
     "day_counts": _groups(BUSY, ONCE)
     + f"SELECT {DT} AS dt, count(*) AS row_count FROM grp WHERE imp > 0 GROUP BY 1",
     "run_log": _groups(BUSY, ONCE)
@@ -206,6 +226,9 @@ ORACLE: dict[str, str] = {
           COALESCE(string_agg(CASE WHEN NOT success THEN CAST(process_date AS varchar) END, ','
             ORDER BY process_date), '') AS failed_dates
         FROM log""",
+    "signage_import": f"""WITH {ONCE} SELECT fully_device_id,
+          COALESCE(NULLIF(opening_time, ''), '09:00') AS opening,
+          COALESCE(NULLIF(closing_time, ''), '21:00') AS closing FROM signage""",
     "signage_csv": f"""WITH {ONCE} SELECT fully_device_id,
           COALESCE(NULLIF(opening_time, ''), '09:00') AS opening,
           COALESCE(NULLIF(closing_time, ''), '21:00') AS closing FROM signage""",

@@ -3,6 +3,7 @@
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,40 @@ def hourly_impressions_hours(spark, sf_dir):
     )
 
 
+def _instant(ts):
+    """The instant of a UTC wall clock, whatever the session time zone."""
+    return F.to_timestamp(F.concat(ts.cast("string"), F.lit("+00:00")))
+
+
+def _instants(log: DataFrame) -> DataFrame:
+    return log.withColumn("timestamp", _instant(F.col("timestamp")))
+
+
+@query("hourly_impressions_instants")
+def hourly_impressions_instants(spark, sf_dir):
+    """The log with instants, which the results keep; shown as UTC wall clock."""
+    log = _instants(testbed.request_log(spark, sf_dir))
+    rows = hourly_impressions(log, testbed.signage_table(spark, sf_dir), FIRST, LAST)
+    return rows.withColumn("timestamp_hourly", times.utc_wall(F.col("timestamp_hourly"), ntz=False))
+
+
+@query("stored_log_impressions")
+def stored_log_impressions(spark, sf_dir):
+    """A log stored by UTC date and a signage table of the catalog, through the readers."""
+    path = scratch_path(spark, "log")
+    log = _instants(testbed.request_log(spark, sf_dir))
+    days = log.withColumn("log_date", F.to_date(times.utc_wall(F.col("timestamp"), ntz=False)))
+    days.repartition("log_date").write.partitionBy("log_date").parquet(path)
+    name = _fresh("signage")
+    place = scratch_path(spark, "signage")
+    testbed.signage_table(spark, sf_dir).write.option("path", place).saveAsTable(name)
+    requests = readers.read_requests(spark, path, "parquet", log_date="log_date")
+    listed = readers.read_signage(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # analysed already; its files stay
+    rows = hourly_impressions(requests, listed, FIRST, LAST, log_date="log_date")
+    return rows.withColumn("timestamp_hourly", times.utc_wall(F.col("timestamp_hourly"), ntz=False))
+
+
 @query("hourly_impressions_devices")
 def hourly_impressions_devices(spark, sf_dir):
     return hourly_impressions(
@@ -187,10 +222,22 @@ def day_window(spark, sf_dir):
 @query("hour_bucket")
 def hour_bucket(spark, sf_dir):
     events = testbed.read(spark, sf_dir, "events")
-    bucketed = events.select(times.hour_bucket(F.col("ts")).alias("hour"), "value")
+    bucketed = events.select(times.hour_bucket(F.col("ts"), ntz=True).alias("hour"), "value")
     return bucketed.groupBy("hour").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("hour_buckets_pair")
+def hour_buckets_pair(spark, sf_dir):
+    """Two buckets of one select, of an instant and of a zone-less time that views do not have."""
+    events = testbed.read(spark, sf_dir, "events")
+    local = F.when(F.col("event_type") != "view", _local())
+    return events.select(
+        "event_id",
+        times.utc_wall(times.hour_bucket(_instant(F.col("ts")), ntz=False), ntz=False).alias("hour"),
+        times.hour_bucket(local, ntz=True).alias("local_hour"),
+    )
+
+
 @query("local_hhmm")
 def local_hhmm(spark, sf_dir):
     return testbed.read(spark, sf_dir, "events").select(
@@ -259,16 +306,21 @@ def valid_dates(spark, sf_dir):
 # --- opening hours, join, counts ---
 
 
+#: A device may have a third of all events, so its listings are repeated and its events dealt.
+DEALS = 16
+
+
 @query("business_hours_flag")
 def business_hours_flag(spark, sf_dir):
     events = testbed.read(spark, sf_dir, "events").select(
         "event_id",
-        F.concat(F.lit("dev-"), F.col("user_id").cast("string")).alias("device_id"),
+        F.concat(F.lit("dev-"), F.col("user_id").cast("string")).alias("fully_device_id"),
         times.hhmm(_local()).alias("hm"),
+        F.pmod("event_id", F.lit(DEALS)).cast("int").alias("deal"),
     )
     table = testbed.signage_table(spark, sf_dir)
-    joined = events.join(table, F.col("device_id") == F.col("fully_device_id"), "left")
-    return joined.select(
+    repeated = table.withColumn("deal", F.explode(F.array(*map(F.lit, range(DEALS)))))
+    return events.join(repeated, ["fully_device_id", "deal"], "left").select(
         "event_id",
         hours.in_business_hours(F.col("hm"), F.col("opening_time"), F.col("closing_time")).alias(
             "in_hours"
@@ -342,18 +394,32 @@ def having_positive(spark, sf_dir):
 # --- loading ---
 
 
+def _fresh(name: str) -> str:
+    return f"hourboard_{name}_{uuid.uuid4().hex[:8]}"
+
+
 def _job(spark, sf_dir) -> ImpressionJob:
     return ImpressionJob(
         spark,
         testbed.request_log(spark, sf_dir),
         testbed.signage_table(spark, sf_dir),
-        table=f"hourboard_{uuid.uuid4().hex[:8]}",
+        table=_fresh("target"),
         location=scratch_path(spark, "target"),
     )
 
 
 def _content(job: ImpressionJob) -> DataFrame:
-    return job.spark.table(job.table).select(*TARGET_COLUMNS)
+    """What the folder of the target holds. The table is dropped from the catalog; its files stay."""
+    table = job.spark.table(job.table)
+    columns = [F.col(name).cast(table.schema[name].dataType) for name in TARGET_COLUMNS]
+    job.spark.sql(f"DROP TABLE {job.table}")
+    return job.spark.read.schema(table.schema).parquet(job.location).select(*columns)
+
+
+def _logged(job: ImpressionJob, log: DataFrame) -> DataFrame:
+    """A run log, which needs the table no more."""
+    job.spark.sql(f"DROP TABLE IF EXISTS {job.table}")
+    return log
 
 
 @query("replace_day_twice")
@@ -400,12 +466,79 @@ def append_rows(spark, sf_dir):
 def day_counts(spark, sf_dir):
     job = _job(spark, sf_dir)
     job.run_range(FIRST, LAST)
-    return target.rows_per_day(spark, job.table)
+    return _content(job).groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("replace_days_in_parallel")
+def replace_days_in_parallel(spark, sf_dir):
+    """The days of the month, loaded each by itself from several threads."""
+    job = _job(spark, sf_dir)
+    target.ensure_table(spark, job.table, job.requests.schema["timestamp"].dataType, job.location)
+    with ThreadPoolExecutor(4) as pool:
+        logs = list(pool.map(job.run, target.days_between(FIRST, LAST)))
+    if not all(row["success"] for log in logs for row in log.collect()):
+        raise RuntimeError("A day failed")
+    return _content(job)
+
+
+@query("clear_then_append")
+def clear_then_append(spark, sf_dir):
+    """A day cleared by a load without requests, then its first half appended."""
+    job = _job(spark, sf_dir)
+    job.run_range(FIRST, LAST)
+    requests, job.requests = job.requests, job.requests.where("false")
+    job.run(ONE_DAY)
+    half = hourly_impressions(requests, job.signage, ONE_DAY, end_hour=11)
+    target.append_rows(spark, job.table, with_business_date(half))
+    return _content(job)
+
+
+@query("truncate_and_reload")
+def truncate_and_reload(spark, sf_dir):
+    """A full table emptied, then its first days loaded."""
+    job = _job(spark, sf_dir)
+    job.run_range(FIRST, LAST)
+    target.truncate(spark, job.table)
+    job.run_range(FIRST, ONE_DAY)
+    return _content(job)
+
+
+@query("run_default")
+def run_default(spark, sf_dir):
+    """The run without a date, at a given moment: it loads the Tokyo day before."""
+    job = _job(spark, sf_dir)
+    job.run(now=dt.datetime(2024, 1, 10, 15, 0, tzinfo=dt.timezone.utc))
+    return _content(job)
+
+
+def _failing(spark, sf_dir) -> ImpressionJob:
+    """A job on a log in which the requests of one day cannot be read."""
+    job = _job(spark, sf_dir)
+    url = F.col("httpRequest.requestUrl")
+    broken = times.business_date(_local("timestamp")) == F.lit(ONE_DAY)
+    text = F.when(broken, F.raise_error(F.lit("unreadable")).cast("string")).otherwise(url)
+    job.requests = job.requests.select("timestamp", F.struct(text.alias("requestUrl")).alias("httpRequest"))
+    return job
+
+
+@query("run_range_partial")
+def run_range_partial(spark, sf_dir):
+    """The run log of a range with a day that fails."""
+    job = _failing(spark, sf_dir)
+    log = job.run_range(FIRST, dt.date(2024, 1, 12))
+    return _logged(job, log).withColumn("error", F.regexp_extract("error", "unreadable", 0))
+
+
+@query("run_summary_partial")
+def run_summary_partial(spark, sf_dir):
+    job = _failing(spark, sf_dir)
+    return _flat(run_summary(_logged(job, job.run_range(FIRST, dt.date(2024, 1, 12)))))
 
 
 @query("run_log")
 def run_log(spark, sf_dir):
-    return _job(spark, sf_dir).run_range(FIRST, LAST)
+    job = _job(spark, sf_dir)
+    return _logged(job, job.run_range(FIRST, LAST))
 
 
 def _flat(summary: DataFrame) -> DataFrame:
@@ -415,7 +548,8 @@ def _flat(summary: DataFrame) -> DataFrame:
 
 @query("run_summary")
 def run_summary_range(spark, sf_dir):
-    return _flat(run_summary(_job(spark, sf_dir).run_range(FIRST, LAST)))
+    job = _job(spark, sf_dir)
+    return _flat(run_summary(_logged(job, job.run_range(FIRST, LAST))))
 
 
 @query("run_summary_failures")
@@ -447,13 +581,35 @@ def signage_csv(spark, sf_dir):
     )
 
 
+@query("signage_import")
+def signage_import(spark, sf_dir):
+    """A sheet with its columns in another order, and further ones, copied to the catalog and read."""
+    path = scratch_path(spark, "sheet")
+    sheet = testbed.signage_table(spark, sf_dir).select(
+        F.lit("a note").alias("memo"), "closing_time", "fully_device_id", F.lit("x").alias("owner"), "opening_time"
+    )
+    sheet.write.csv(path, header=True)
+    name = _fresh("sheet")
+    rows = readers.import_signage(spark, path, name).select(
+        "fully_device_id",
+        hours.hour_text(F.col("opening_time"), hours.DEFAULT_OPENING).alias("opening"),
+        hours.hour_text(F.col("closing_time"), hours.DEFAULT_CLOSING).alias("closing"),
+    )
+    copy = scratch_path(spark, "copy")
+    rows.write.parquet(copy)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(copy)
+
+
 @query("named_params")
 def named_params(spark, sf_dir):
-    events = f"events_{uuid.uuid4().hex[:8]}"
+    events = _fresh("events")
     testbed.read(spark, sf_dir, "events").createOrReplaceTempView(events)
-    return readers.run_sql(
+    found = readers.run_sql(
         spark,
         f"""SELECT event_type, count(*) AS n, :value AS test_value, :text AS test_text
             FROM {events} WHERE value >= :value AND event_type <> :text GROUP BY event_type""",
         {"value": 42, "text": "view"},
     )
+    spark.catalog.dropTempView(events)  # the query is analysed already
+    return found

@@ -31,9 +31,13 @@ def local_ts(ts: Column, ntz: bool) -> Column:
     return utc_wall(ts, ntz) + F.expr(f"INTERVAL {JST_HOURS} HOURS")
 
 
-def hour_bucket(ts: Column) -> Column:
-    """Start of the hour, in the flavour of the input (an hour-wide tumbling window)."""
-    return F.window(ts, "1 hour")["start"]
+def hour_bucket(ts: Column, ntz: bool) -> Column:
+    """Start of the hour, in the flavour of the input; NULL of NULL."""
+    if ntz:
+        past = F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
+        return ts - past
+    micros = F.unix_micros(ts)
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(3_600_000_000)))
 
 
 def business_date(local: Column) -> Column:

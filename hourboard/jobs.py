@@ -5,7 +5,7 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +51,10 @@ def strict_date(value: str) -> dt.date | None:
         return None
 
 
-def run_date(value: str | dt.date | None = None) -> dt.date:
+def run_date(value: str | dt.date | None = None, now: dt.datetime | None = None) -> dt.date:
     """Day of a daily run: the one given, else yesterday in Tokyo."""
     if not value:
-        return times.yesterday_jst()
+        return times.yesterday_jst(now) if now else times.yesterday_jst()
     day = parse_date(value)
     if day is None:
         raise ArgumentError(f"Invalid date parameter: {value}")
@@ -100,24 +100,38 @@ class ImpressionJob:
     table: str
     location: str | None = None
     options: dict[str, Any] = field(default_factory=dict)
+    #: First day, last day and error of each range that failed as a whole.
+    range_errors: list[tuple[dt.date, dt.date, str]] = field(default_factory=list)
 
-    def run(self, date: str | dt.date | None = None) -> DataFrame:
-        day = run_date(date)
-        return self._log(self._load_each([day]))
+    def run(self, date: str | dt.date | None = None, now: dt.datetime | None = None) -> DataFrame:
+        """The day given, else the Tokyo day before ``now``, which is the present if left out."""
+        day = run_date(date, now)
+        return self._log(self._load_span(day, day))
 
     def reprocess(self, date: str | None) -> DataFrame:
-        return self._log(self._load_each([reprocess_date(date)]))
+        day = reprocess_date(date)
+        return self._log(self._load_span(day, day))
 
     def run_range(
         self, start: str | dt.date | None, end: str | dt.date | None = None
     ) -> DataFrame:
-        """All days in one pass over the log; only if that fails, day by day."""
-        first, last = run_dates(start, end)
+        """All days in one pass over the log; a range that fails is halved, down to single days.
+
+        What cannot be analysed fails for all days at once, without a second try.
+        """
+        return self._log(self._load_span(*run_dates(start, end)))
+
+    def _load_span(self, first: dt.date, last: dt.date) -> list[tuple]:
         try:
-            entries = [(day, True, rows, None) for day, rows in self._load(first, last).items()]
-        except Exception:
-            entries = self._load_each(target.days_between(first, last))
-        return self._log(entries)
+            return [(day, True, rows, None) for day, rows in self._load(first, last).items()]
+        except Exception as error:
+            message, days = _message(error), target.days_between(first, last)
+            if len(days) > 1:
+                self.range_errors.append((first, last, message))
+            if len(days) == 1 or isinstance(error, AnalysisException):
+                return [(day, False, None, message) for day in days]
+            middle = days[(len(days) - 1) // 2]
+            return self._load_span(first, middle) + self._load_span(middle + dt.timedelta(days=1), last)
 
     def _load(self, first: dt.date, last: dt.date) -> dict[dt.date, int]:
         kind = self.requests.schema["timestamp"].dataType
@@ -125,15 +139,6 @@ class ImpressionJob:
         rows = hourly_impressions(self.requests, self.signage, first, last, **self.options)
         return target.replace_days(self.spark, self.table, with_business_date(rows), first, last)
 
-    def _load_each(self, days: list[dt.date]) -> list[tuple]:
-        entries = []
-        for day in days:
-            try:
-                entries.append((day, True, self._load(day, day)[day], None))
-            except Exception as error:
-                entries.append((day, False, None, _message(error)))
-        return entries
-
     def _log(self, entries: list[tuple]) -> DataFrame:
         return self.spark.createDataFrame(entries, RUN_LOG_SCHEMA)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hourboard.functions import times, urls
 from hourboard.schemas import INT_PARAMS, KEYS, is_ntz
 
+
 def request_url() -> Column:
     return F.col("httpRequest.requestUrl")
 
@@ -46,9 +47,10 @@ def filter_tracking(
 def play_keys(plays: DataFrame) -> DataFrame:
     """The eight group keys of each play and its Tokyo minute of day."""
     ts, url = F.col("timestamp"), request_url()
-    local = times.local_ts(ts, is_ntz(plays, "timestamp"))
+    ntz = is_ntz(plays, "timestamp")
+    local = times.local_ts(ts, ntz)
     texts = plays.select(
-        times.hour_bucket(ts).alias("timestamp_hourly"),
+        times.hour_bucket(ts, ntz).alias("timestamp_hourly"),
         times.minute_of_day(local).alias("minute"),
         urls.query_param(url, "device_id").alias("device_id"),
         *[urls.param_text(url, name).alias(name) for name in INT_PARAMS],

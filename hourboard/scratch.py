@@ -1,7 +1,5 @@
 """Where tables that outlive a stage but not a session are written."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,17 +8,9 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder the session names in ``spark.checkpoint.dir``.
 
-    All executors have to reach it, so a temporary folder of this machine only stands in when the
-    session is local and names none.
+    All executors have to reach it. Where the session names none, it is a folder in the warehouse,
+    which they reach as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder()
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{base.rstrip('/')}/hourboard/{name}-{uuid.uuid4().hex}"
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="hourboard-")

@@ -35,9 +35,13 @@ class Environment:
         return ".".join(parts)
 
 
-def get_environment(name: str | None = None, catalog: str | None = None) -> Environment:
-    """Environment by name, development when none is given."""
+def get_environment(
+    name: str | None = None, catalog: str | None = None, database: str | None = None
+) -> Environment:
+    """Environment by name, development when none is given; ``database`` stands instead of its own."""
     name = name or "development"
+    if database:
+        return Environment(database, catalog=catalog)
     if name not in DATABASES:
         raise ValueError(f"Unknown environment: {name}")
     return Environment(DATABASES[name], catalog=catalog)

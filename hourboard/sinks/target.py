@@ -1,13 +1,15 @@
 """Creating, replacing and counting days of the target table.
 
-Days are Tokyo days, kept in the partition column ``dt``. A day is replaced by one overwrite of its
-partition when the new rows are complete; nothing is deleted beforehand, so a failed load leaves
-the old day in place. One writer per table at a time: an overwrite is no lock.
+Days are Tokyo days, kept in the partition column ``dt``, each in its folder below the table's. A day
+is replaced by one overwrite of its folder when the new rows are complete; nothing is deleted
+beforehand, so a failed load leaves the old day in place. Loads of different days may overlap: each
+stages its files in a folder of its own, and no setting of the session is touched. Two writers of one
+day at a time are not told apart: an overwrite is no lock.
 """
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
-from contextlib import contextmanager
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +19,10 @@ from pyspark.sql import types as T
 from hourboard.plans.impressions import with_business_date
 from hourboard.schemas import CLUSTER_KEYS, KEYS, TARGET_COLUMNS, target_schema
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+#: Days a range can have: what one bitmap holds.
+MAX_DAYS = 32_768
+#: Appends stage in the table's own folder, so those of one process take turns.
+_appending = Lock()
 
 
 def ensure_table(
@@ -33,7 +38,7 @@ def ensure_table(
     columns = ", ".join(
         f"{field.name} {field.dataType.simpleString()}" for field in target_schema(timestamp_type)
     )
-    place = f" LOCATION '{location}'" if location else ""
+    place = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({columns}) "
         f"USING parquet PARTITIONED BY (dt){place}"
@@ -61,44 +66,85 @@ def replace_days(
 ) -> dict[dt.date, int]:
     """Make the days ``first``..``last`` of the table hold exactly ``rows``; rows per day.
 
-    Every day with rows is swapped in by one dynamic overwrite. Days without any are found out
-    during that write and dropped after it. Counts are read back from the committed files, whose
-    footers hold them.
+    A row of any other day fails the load, which then changes nothing. Every day with rows is swapped
+    in by one dynamic overwrite of the table's folder; which days have none is found out during that
+    write, by one bitmap for all, and they are cleared after it. Between the two commits such a day
+    still has its old rows; loading it again ends in the same state. Counts are read back from the
+    committed files, whose footers hold them.
     """
     days = days_between(first, last)
     if not days:
         return {}
-    rows = rows.select(*TARGET_COLUMNS).where(F.col("dt").between(first, last))
+    if len(days) > MAX_DAYS:
+        raise ValueError(f"A load takes at most {MAX_DAYS} days, not {len(days)}")
+    day = F.col("dt")
+    refused = F.raise_error(F.concat(F.lit("Row of a day outside the load: "), F.coalesce(day.cast("string"), F.lit("NULL"))))
+    inside = F.when(day.between(first, last), day).otherwise(refused.cast("date")).alias("dt")
+    rows = rows.select(*[inside if name == "dt" else name for name in TARGET_COLUMNS])
+    place = table_location(spark, table)
     seen = Observation()
-    filled = [F.bool_or(F.col("dt") == F.lit(day)).alias(day.isoformat()) for day in days]
-    with _dynamic_overwrite(spark):
-        arrange(rows).observe(seen, *filled).write.mode("overwrite").insertInto(table)
-    metrics = seen.get
-    empty = [day for day in days if not metrics.get(day.isoformat())]
-    clear_days(spark, table, empty)
+    bit = F.bitmap_bit_position(F.datediff(day, F.lit(first)) + 1)
+    written = arrange(rows).observe(seen, F.bitmap_construct_agg(bit).alias("days"))
+    written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(place)
+    bits = seen.get.get("days") or b""
+    filled = {day for n, day in enumerate(days) if n // 8 < len(bits) and bits[n // 8] >> n % 8 & 1}
+    specs = " ".join(_partition(day) for day in sorted(filled))
+    if specs:
+        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(_quoted(table))
+    clear_days(spark, table, [day for day in days if day not in filled])
     return count_days(spark, table, first, last)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of the table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def clear_days(spark: SparkSession, table: str, days: Iterable[dt.date]) -> None:
-    """Drop the partitions of ``days``, where they exist."""
-    specs = ", ".join(f"PARTITION (dt = DATE '{day.isoformat()}')" for day in days)
-    if specs:
-        spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {specs}")
+    """Drop the partitions of ``days``, where they exist, and their files, wherever the table lies."""
+    days = list(days)
+    specs = ", ".join(_partition(day) for day in days)
+    if not specs:
+        return
+    spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {specs}")
+    place = table_location(spark, table)
+    for day in days:
+        _delete(spark, f"{place}/dt={day.isoformat()}")
+    spark.catalog.refreshTable(_quoted(table))
+
+
+def _partition(day: dt.date) -> str:
+    return f"PARTITION (dt = DATE '{day.isoformat()}')"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def append_rows(spark: SparkSession, table: str, rows: DataFrame) -> int:
     """Add rows to the target, whatever its days hold already; how many they were."""
-    before = spark.table(table).count()
-    arrange(rows.select(*TARGET_COLUMNS)).write.mode("append").insertInto(table)
-    return spark.table(table).count() - before
+    seen = Observation()
+    rows = arrange(rows.select(*TARGET_COLUMNS)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    with _appending:
+        rows.write.mode("append").insertInto(table)
+    return seen.get.get("rows", 0)
 
 
 def append_records(spark: SparkSession, table: str, records: list[Mapping[str, Any]]) -> int:
-    """Add a few records at hand; none at all is no write. Naive timestamps are UTC."""
+    """Add a few records at hand; none at all is no write. Naive timestamps are UTC.
+
+    A field the table does not have is refused; one left out is NULL.
+    """
     if not records:
         return 0
     kind = spark.table(table).schema["timestamp_hourly"].dataType
     fields = target_schema(kind).fields[:-1]
+    unknown = {name for record in records for name in record} - {field.name for field in fields}
+    if unknown:
+        raise ValueError(f"Unknown fields: {', '.join(sorted(unknown))}")
     moments = [_utc(record["timestamp_hourly"], kind) for record in records]
     values = [
         (moment, *[record.get(field.name) for field in fields[1:]])
@@ -116,8 +162,9 @@ def _utc(moment: dt.datetime, kind: T.DataType) -> dt.datetime:
 
 
 def truncate(spark: SparkSession, table: str) -> None:
-    """Empty the target, keeping its definition."""
-    spark.sql(f"TRUNCATE TABLE {_quoted(table)}")
+    """Empty the target, keeping its definition. Its files go as well, wherever the table lies."""
+    partitions = spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()  # one row a day
+    clear_days(spark, table, [dt.date.fromisoformat(row[0].removeprefix("dt=")) for row in partitions])
 
 
 def rows_per_day(spark: SparkSession, table: str) -> DataFrame:
@@ -133,16 +180,5 @@ def count_days(
     return {day: counts.get(day, 0) for day in days_between(first, last)}
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """``insertInto`` takes the overwrite mode from the session; put it back afterwards."""
-    previous = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, previous)
-
-
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))

@@ -5,6 +5,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourboard.schemas import REQUEST_SCHEMA, SIGNAGE_SCHEMA
 
@@ -15,19 +16,25 @@ def read_requests(
     """The request log: a catalog table, or files at a path when ``fmt`` is given.
 
     Only the fields the query uses (and the partition column ``log_date``) are kept; the rest of
-    ``httpRequest`` is never read.
+    ``httpRequest`` is never read. A record that is no JSON, or has a field of another type, fails the
+    reading. CSV, which has no nested fields, needs a header with ``timestamp`` and ``requestUrl``;
+    further columns are left alone, and a timestamp that is none fails the reading.
     """
-    if fmt in ("json", "csv"):
-        log = spark.read.schema(REQUEST_SCHEMA).format(fmt).load(source)
+    url = F.col("httpRequest.requestUrl")
+    if fmt == "json":
+        days = [T.StructField(log_date, T.DateType())] if log_date else []
+        schema = T.StructType([*REQUEST_SCHEMA.fields, *days])
+        log = spark.read.schema(schema).json(source, mode="FAILFAST")
+    elif fmt == "csv":
+        log = spark.read.csv(source, header=True, mode="FAILFAST")
+        log = log.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        url = F.col("requestUrl")
     elif fmt:
         log = spark.read.format(fmt).load(source)
     else:
         log = spark.table(source)
-    columns = [
-        F.col("timestamp"),
-        F.struct(F.col("httpRequest.requestUrl").alias("requestUrl")).alias("httpRequest"),
-    ]
-    return log.select(*columns, *([log_date] if log_date else []))
+    columns = [F.col("timestamp"), F.struct(url.alias("requestUrl")).alias("httpRequest")]
+    return log.select(*columns, *([F.col(log_date).cast("date")] if log_date else []))
 
 
 def read_signage(spark: SparkSession, table: str) -> DataFrame:
@@ -36,8 +43,11 @@ def read_signage(spark: SparkSession, table: str) -> DataFrame:
 
 
 def read_signage_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The signage sheet exported as CSV with a header row; empty cells read as NULL."""
-    sheet = spark.read.schema(SIGNAGE_SCHEMA).csv(path, header=True, enforceSchema=False)
+    """The signage sheet exported as CSV with a header row; empty cells read as NULL.
+
+    Columns are found by name, in any order; further ones are left alone.
+    """
+    sheet = spark.read.csv(path, header=True, mode="FAILFAST")
     return sheet.select(*SIGNAGE_SCHEMA.fieldNames())
 
 

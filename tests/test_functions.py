@@ -124,7 +124,7 @@ def test_local_time_in_any_session_zone(spark, zone, ntz):
     frame = spark.createDataFrame([(m,) for m in MOMENTS], "m string")
     ts = F.col("m").cast("timestamp_ntz") if ntz else F.to_timestamp(F.concat("m", F.lit("Z")))
     local = times.local_ts(F.col("ts"), ntz)
-    bucket = times.hour_bucket(F.col("ts"))
+    bucket = times.hour_bucket(F.col("ts"), ntz)
     rows = frame.select("m", ts.alias("ts")).select(
         "m",
         times.business_date(local).alias("day"),

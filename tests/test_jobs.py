@@ -180,7 +180,7 @@ def test_command_line(spark, tmp_path, capsys):
     sheet.write_text("fully_device_id,opening_time,closing_time\nd1,10:00,22:00\n")
     table = f"cli_{uuid.uuid4().hex[:8]}"
     source = f"--requests {tmp_path / 'log'} --requests-format parquet --log-date log_dt"
-    where = f"{source} --signage {sheet} --table default.{table}".split()
+    where = f"{source} --signage {sheet} --signage-format csv --table default.{table}".split()
 
     assert main(["run", *where, "--date", "2025-03-20"], spark) == 0
     assert main(["run-range", *where, "--start-date", "2025-03-20", "--end-date", "2025-03-22"],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from helpers import requests_of, signage_of, track
+from hourboard.checks.queries import REGISTRY
 from hourboard.plans.impressions import hourly_impressions
 from hourboard.scratch import scratch_path
 from hourboard.sources import readers
@@ -75,7 +76,7 @@ def test_shuffled_plan_counts_first_and_salts(spark):
 def test_no_query_runs_python(spark):
     slow = ("Python", "MapInPandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin")
     loads = ("replace", "append", "empty", "day_counts", "run_log", "run_summary")
-    for name, query in queries().items():
+    for name, query in REGISTRY.items():
         if name.startswith(loads):
             continue
         plan = plan_of(query(spark, DATA))

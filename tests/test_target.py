@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,11 +88,60 @@ def test_gap_inside_a_range_is_cleared(spark, table):
     assert target.count_days(spark, table, D20, D23) == {D20: 24, D21: 0, D22: 24, D23: 24}
 
 
-def test_rows_of_other_days_are_not_written(spark, table):
+@pytest.mark.parametrize("stray", [D20, None])
+def test_rows_of_other_days_are_refused(spark, table, stray):
     load(spark, table, D20)
-    target.replace_days(spark, table, day_rows(spark, D20, D21, imp=9), D21, D21)
-    assert spark.table(table).where("imp = 9").select("dt").distinct().collect() == [(D21,)]
-    assert state(spark, table) == (48, 48)
+    rows = day_rows(spark, D20, D21, imp=9)
+    day = F.when(F.col("dt") == F.lit(D20), F.lit(stray).cast("date")).otherwise(F.col("dt"))
+    with pytest.raises(Exception, match="outside the load"):
+        target.replace_days(spark, table, rows.withColumn("dt", day), D21, D21)
+    assert spark.table(table).where("imp = 9").count() == 0
+    assert state(spark, table) == (24, 24)
+
+
+@pytest.fixture
+def placed(spark, tmp_path):
+    """A table with a location of its own, with a quote in its path."""
+    name, place = f"t_{uuid.uuid4().hex[:8]}", str(tmp_path / "it's")
+    target.ensure_table(spark, name, location=place)
+    yield name, place
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_cleared_days_are_gone_from_storage(spark, placed):
+    table, place = placed
+    load(spark, table, D20, D21)
+    nothing = day_rows(spark, D21).where("imp < 0")
+    assert target.replace_days(spark, table, nothing, D21, D21) == {D21: 0}
+    assert spark.read.parquet(place).count() == 24
+    assert target.append_rows(spark, table, day_rows(spark, D21).limit(1)) == 1
+    assert target.count_days(spark, table, D20, D21) == {D20: 24, D21: 1}
+    target.truncate(spark, table)
+    assert state(spark, table) == (0, 0)
+    load(spark, table, D22)
+    assert spark.read.parquet(place).select("dt").distinct().collect() == [(D22,)]
+
+
+def test_overlapping_loads_keep_each_others_days(spark, table):
+    """Loads of three days, of which none ends before all have begun to write."""
+    load(spark, table, D20)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda day: load(spark, table, day), [D21, D22, D23] * 3))
+    assert target.count_days(spark, table, D20, D23) == dict.fromkeys((D20, D21, D22, D23), 24)
+    assert state(spark, table) == (96, 96)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def test_append_of_an_unknown_field_is_refused(spark, table):
+    record = {"timestamp_hourly": dt.datetime(2025, 3, 22), "mediumid": 2}
+    with pytest.raises(ValueError, match="mediumid"):
+        target.append_records(spark, table, [record])
+
+
+def test_a_range_has_a_bound(spark, table):
+    with pytest.raises(ValueError, match="days"):
+        target.replace_days(spark, table, day_rows(spark, D20), dt.date(1900, 1, 1), dt.date(2025, 1, 1))
 
 
 def test_failure_leaves_the_old_day(spark, table):
@@ -100,7 +150,6 @@ def test_failure_leaves_the_old_day(spark, table):
     with pytest.raises(Exception, match="no"):
         target.replace_days(spark, table, broken, D20, D20)
     assert state(spark, table) == (24, 24)
-    assert spark.conf.get(target.OVERWRITE_MODE).lower() == "static"
 
 
 def test_append_adds(spark, table):
