@@ -9,6 +9,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: what the path of a URL is.
 PATH_PATTERN = r"//[^/]+([^?#]+)"
 
 

@@ -16,10 +16,10 @@ from hourboard.sinks import target
 
 
 class ArgumentError(ValueError):
-    """A job argument that is missing or wrong; raised before any Spark work."""
+    """A job argument that is missing or wrong; raised before any Spark work. Its texts are fixed."""
 
 
-# Date forms a run accepts besides ISO 8601.
+# The texts of the argument errors below, and the date forms a run accepts besides ISO 8601.
 LENIENT_FORMATS = ("%Y/%m/%d", "%m/%d/%Y", "%Y-%m-%d", "%Y-%m", "%Y")
 
 

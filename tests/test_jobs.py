@@ -109,6 +109,31 @@ def test_one_bad_day_does_not_stop_the_range(job):
     assert tuple(run_summary(log).first()) == (False, D20, D22, 4, [D21])
 
 
+def test_a_failed_range_is_halved_and_keeps_its_error(job, monkeypatch):
+    job.requests = failing_on(job, D21)
+    loads = []
+    load = ImpressionJob._load
+    monkeypatch.setattr(
+        ImpressionJob, "_load", lambda self, *span: loads.append(span) or load(self, *span)
+    )
+    job.run_range("2025-03-20", "2025-03-22")
+    assert loads == [(D20, D22), (D20, D21), (D20, D20), (D21, D21), (D22, D22)]
+    assert [(first, last) for first, last, _ in job.range_errors] == [(D20, D22), (D20, D21)]
+    assert all("bad log" in message for *_, message in job.range_errors)
+
+
+def test_what_cannot_be_analysed_is_tried_once(job, monkeypatch):
+    loads = []
+    load = ImpressionJob._load
+    monkeypatch.setattr(
+        ImpressionJob, "_load", lambda self, *span: loads.append(span) or load(self, *span)
+    )
+    job.signage = job.signage.drop("opening_time")
+    log = job.run_range("2025-03-20", "2025-03-22")
+    assert [entry[:3] for entry in entries(log)] == [(day, False, None) for day in (D20, D21, D22)]
+    assert len(loads) == 1
+
+
 def test_summary(spark):
     def summary(*rows):
         return tuple(run_summary(spark.createDataFrame(list(rows), RUN_LOG_SCHEMA)).first())

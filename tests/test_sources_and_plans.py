@@ -96,6 +96,33 @@ def test_read_requests_formats(spark, stored_log, tmp_path):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_broken_json_is_an_error(spark, tmp_path):
+    good = '{"timestamp": "2025-03-22T00:00:00Z", "httpRequest": {"requestUrl": "u"}, "day": "2025-03-22"}'
+    (tmp_path / "log.json").write_text(good + "\n")
+    log = readers.read_requests(spark, str(tmp_path), "json", log_date="day")
+    assert [(r.httpRequest.requestUrl, r.day) for r in log.collect()] == [("u", dt.date(2025, 3, 22))]
+    (tmp_path / "log.json").write_text(good + '\n{"timestamp": "2025\n')
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        readers.read_requests(spark, str(tmp_path), "json").collect()
+
+
+def test_csv_log(spark, tmp_path):
+    (tmp_path / "log.csv").write_text("status,requestUrl,timestamp\n200,http://x/t?a=1,2025-03-22T01:00:00Z\n")
+    log = readers.read_requests(spark, str(tmp_path), "csv")
+    assert log.schema["httpRequest"].dataType.simpleString() == "struct<requestUrl:string>"
+    assert log.selectExpr("unix_seconds(timestamp)", "httpRequest.requestUrl").collect() == [(1742605200, "http://x/t?a=1")]
+
+
+def test_sheet_with_further_columns_in_another_order(spark, tmp_path):
+    sheet = tmp_path / "sheet.csv"
+    sheet.write_text("memo,closing_time,fully_device_id,opening_time\nm,20:00,d1,09:30\n,,d2,\n")
+    rows = [tuple(row) for row in readers.read_signage_csv(spark, str(sheet)).collect()]
+    assert rows == [("d1", "09:30", "20:00"), ("d2", None, None)]
+    sheet.write_text("fully_device_id,opening_time\nd1,09:30\n")
+    with pytest.raises(Exception, match="closing_time"):
+        readers.read_signage_csv(spark, str(sheet)).collect()
+
+
 def test_signage_sheet(spark, tmp_path):
     sheet = tmp_path / "sheet.csv"
     sheet.write_text(
