@@ -124,8 +124,8 @@ def scores(texts: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
-def threshold(judged: DataFrame) -> DataFrame:
-    """One row ``cut``: where the mean of both kinds' hit rates is best on held-out urls (``weight``, ``kind``, ``score``)."""
+def threshold(judged: DataFrame) -> float:
+    """Where the mean of both kinds' hit rates is best on held-out urls (``weight``, ``kind``, ``score``)."""
     step = F.greatest(F.lit(-LIMIT * STEPS), F.least(F.lit(LIMIT * STEPS), F.floor(F.col("score") * STEPS)))
     bins = judged.groupBy(step.alias("step")).agg(
         F.sum(F.when(F.col("kind") == "allow", F.col("weight")).otherwise(0)).alias("yes"),
@@ -139,9 +139,8 @@ def threshold(judged: DataFrame) -> DataFrame:
         return F.try_divide(F.coalesce(F.sum(kind).over(below), F.lit(0)), F.sum(kind).over(whole))
 
     hits = bins.select("step", (share("no") + 1 - share("yes")).alias("hits")).where("hits is not null")
-    return hits.agg(
-        F.coalesce(F.max_by("step", F.struct("hits", -F.abs("step"))) / STEPS, F.lit(0.0)).alias("cut")
-    )
+    best = hits.agg(F.max_by("step", F.struct("hits", -F.abs("step")))).first()[0]
+    return (best or 0) / STEPS
 
 
 def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -163,9 +162,9 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         )
     )
     judged = stored(scores(texts.where(held_out), stored(seen, "grams")), "scores")
-    cut = F.broadcast(threshold(judged.where(F.col("kind").isNotNull())))  # one row
-    answers = judged.where(F.col("kind").isNull()).join(cut).select(
-        "text", "weight", "score", F.when(F.col("score") >= F.col("cut"), "allow").otherwise("block").alias("judged")
+    cut = threshold(judged.where(F.col("kind").isNotNull()))
+    answers = judged.where(F.col("kind").isNull()).select(
+        "text", "weight", "score", F.when(F.col("score") >= cut, "allow").otherwise("block").alias("judged")
     )
     ruled = rows.where(F.col("kind").isNotNull()).withColumn("score", F.lit(None).cast("double"))
     free = join_unique(rows.where(F.col("kind").isNull()).drop("kind"), answers, ["text"], "weight", pages.count())
