@@ -79,7 +79,7 @@ def run_dates(
 def reprocess_date(value: str | None) -> dt.date:
     """Day to load again, which has to be spelled out."""
     if not value:
-        raise ArgumentError("Missing date parameter in request body")
+        raise ArgumentError("Missing date parameter")
     day = strict_date(value)
     if day is None:
         raise ArgumentError(f"Invalid date format: {value}. Expected format: YYYY-MM-DD")
