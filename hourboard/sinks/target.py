@@ -104,14 +104,19 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def clear_days(spark: SparkSession, table: str, days: Iterable[dt.date]) -> None:
     """Drop the partitions of ``days``, where they exist, and their files, wherever the table lies."""
-    days = list(days)
-    specs = ", ".join(_partition(day) for day in days)
-    if not specs:
+    names = {f"dt={day.isoformat()}" for day in days}
+    if not names:
         return
-    spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {specs}")
-    place = table_location(spark, table)
-    for day in days:
-        _delete(spark, f"{place}/dt={day.isoformat()}")
+    known = names & {row[0] for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()}
+    specs = ", ".join(_partition(dt.date.fromisoformat(name[3:])) for name in sorted(known))
+    if specs:
+        spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {specs}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(table_location(spark, table))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = files.listStatus(place) if files.exists(place) else ()
+    for folder in folders:
+        if folder.getPath().getName() in names:
+            files.delete(folder.getPath(), True)
     spark.catalog.refreshTable(_quoted(table))
 
 
@@ -119,11 +124,6 @@ def _partition(day: dt.date) -> str:
     return f"PARTITION (dt = DATE '{day.isoformat()}')"
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def append_rows(spark: SparkSession, table: str, rows: DataFrame) -> int:
     """Add rows to the target, whatever its days hold already; how many they were."""
     seen = Observation()
