@@ -37,10 +37,12 @@ from hourboard.llm.word_ids import slices
 #: Minwise tokens of a set, and how many of them have to agree for a candidate: over four standard
 #: deviations below what a link at similarity 0.8 gives.
 TOKENS, AGREEING = 64, 38
-TREES = 16
-DEPTH = 3
+TREES = 24
+DEPTH = 6
+#: Bytes of text that are hashed at once, if more than one text.
+HASHED_BYTES = 1 << 20
 #: Sets in a node that are compared exhaustively, and in a block.
-SMALL, BLOCK = 32, 256
+SMALL, BLOCK = 64, 256
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,6 +93,13 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """The sorted distinct shingles of each text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    part = np.cumsum(sizes) // HASHED_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(texts)]
+    return [s for a, b in zip(edges, edges[1:], strict=False) for s in sets_at_once(texts.slice(a, b - a), width)]
+
+
+def sets_at_once(texts: pa.Array, width: int) -> list[np.ndarray]:
     words, rows = words_of(texts)
     counts = np.bincount(rows, minlength=len(texts))
     ends = np.cumsum(counts)
@@ -217,7 +226,7 @@ def compared(nodes: DataFrame) -> DataFrame:
 
 def candidates(sets: DataFrame, threshold: float) -> DataFrame:
     """``(a, b)``: links that connect all sets (``id``, ``sketch``) that are likely to be alike."""
-    roots = sets.crossJoin(sets.sparkSession.range(TREES).select(F.col("id").alias("path")))  # a constant few
+    roots = sets.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).cast("long"))
     found = None
     for depth in range(1, DEPTH + 1):
         children = stored(branches(roots, threshold), "paths")
