@@ -226,7 +226,7 @@ def compared(nodes: DataFrame) -> DataFrame:
 
 def candidates(sets: DataFrame, threshold: float) -> DataFrame:
     """``(a, b)``: links that connect all sets (``id``, ``sketch``) that are likely to be alike."""
-    roots = sets.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).cast("long"))
+    roots = sets.withColumn("path", F.explode(F.array(*[F.lit(k).cast("long") for k in range(TREES)])))
     found = None
     for depth in range(1, DEPTH + 1):
         children = stored(branches(roots, threshold), "paths")
