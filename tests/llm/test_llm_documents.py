@@ -451,3 +451,30 @@ def test_quality_query(spark):
     bad = [r.kept for r in found if labels.get(r.doc_id) == 0]
     assert sum(good) >= 0.99 * len(good)
     assert sum(bad) <= 0.3 * len(bad)
+
+
+def planted_quality(spark, rare: int):
+    """English of a few words, and ``rare`` trusted documents of a language of other letters; none of a third one."""
+    random.seed(5)
+    english = "the model learns from many words that come again and again in all of these plain texts".split()
+    other = [a + b + c for a in "ζξψ" for b in "αεο" for c in "ςλκν"]
+    text = lambda words: " ".join(random.choice(words) for _ in range(80))
+    rows = [(i, text(english), "en") for i in range(900)]
+    rows += [(10_000 + i, text(other), "el") for i in range(rare)]
+    trusted = [(i, 1) for i, _, _ in rows]
+    rows += [(20_000 + i, text(other), "el") for i in range(20)]
+    rows += [(30_000 + i, text(other), "xx") for i in range(5)]
+    rows += [(40_000 + i, "".join(random.choice("qwzjkvbxyp#%&") for _ in range(400)), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return quality.quality(docs, spark.createDataFrame(trusted, "doc_id long, quality int")).collect()
+
+
+def test_rare_languages_are_judged_by_their_own_trusted_text(spark):
+    found = planted_quality(spark, 4)  # under 0.5 % of the trusted text, so beyond the quantile of all languages
+    limits = {}
+    for r in found:
+        limits.setdefault(r.lang, set()).add(r.threshold)
+    assert min(limits["el"]) > max(limits["en"])
+    assert all(r.kept for r in found if r.doc_id < 30_000)
+    assert limits["xx"] == {None} and all(r.kept for r in found if r.lang == "xx")
+    assert not any(r.kept for r in found if r.doc_id >= 40_000)
