@@ -106,7 +106,7 @@ def sets_at_once(texts: pa.Array, width: int) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         hashes = np.zeros(len(words), np.uint64)
         for k in range(width):
-            hashes[: len(words) - k] += mixed(words[k:] + EVEN * np.uint64(k + 1)) if k else mixed(words + EVEN)
+            hashes[: max(0, len(words) - k)] += mixed(words[k:] + EVEN * np.uint64(k + 1))
         hashes = mixed(hashes)
         sets = []
         for count, end in zip(counts, ends, strict=True):

@@ -381,6 +381,19 @@ def test_near_dedup_of_large_groups(monkeypatch, spark):
     check_near(near_dedup.near_dedup(docs, 85, 3).collect(), rows, 85, 3)
 
 
+@pytest.mark.parametrize("width", [3, 5])
+def test_shingles_of_few_words_alone(width):
+    for words in (["a"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c", "d"], list("abcde"), list("abcdef")):
+        (alone,) = near_dedup.shingle_sets(pa.array([" ".join(words)]), width)
+        among = near_dedup.shingle_sets(pa.array([" ".join(words), "some more words that follow here"]), width)[0]
+        assert alone.tolist() == among.tolist() and len(alone) == max(1, len(words) - width + 1)
+
+
+def test_near_dedup_of_one_short_document(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    assert [tuple(r) for r in near_dedup.near_dedup(docs, 80, 5).collect()] == [(1, 1, 1, True)]
+
+
 def test_near_dedup_query(spark, small):
     check_near(queries()["op10_near_dedup"](spark, SMALL).collect(), [(d, t) for d, t, _ in small], 85, 3)
 
