@@ -6,7 +6,9 @@ node; in each node every set chooses, by a hash of the path so far and the token
 its tokens, and goes to the child of each. Nodes of at most SMALL sets are compared exhaustively,
 by the share of their minwise tokens that agree, and larger ones branch again. A node that is still
 larger at DEPTH (copies of one text, mostly) is taken as linked throughout, for the next step to tell
-apart. TREES independent trees bring the chance to miss a link at the threshold below one in a thousand.
+apart. There are as many independent trees (:func:`trees`) as bring the chance below MISSED that a pair
+at the threshold, alike in as many tokens as chance has it, shares no node at DEPTH. Pairs that meet in a
+small node earlier, or are more alike, are missed less. What all trees miss is not found otherwise.
 
 What the trees link are candidates only. Their components are small; each brings its full sets
 together once, and links are confirmed on these, between sets that are not yet connected, likely
@@ -24,6 +26,8 @@ looked at; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,8 @@ from hourboard.llm.word_ids import slices
 #: Minwise tokens of a set, and how many of them have to agree for a candidate: over four standard
 #: deviations below what a link at similarity 0.8 gives.
 TOKENS, AGREEING = 64, 38
-TREES = 24
-DEPTH = 6
+#: Levels of a tree, and the chance to miss a pair at the threshold that only meets at the last one.
+DEPTH, MISSED = 6, 0.001
 #: Bytes of text that are hashed at once, if more than one text.
 HASHED_BYTES = 1 << 20
 #: Sets in a node that are compared exhaustively, and in a block.
@@ -224,9 +228,25 @@ def compared(nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def missed(threshold: float, count: int) -> float:
+    """The chance that ``count`` trees have no node at DEPTH with both sets of a pair at the threshold."""
+    choice, chance = 1 / (threshold * TOKENS), 0.0
+    for agreeing in range(TOKENS + 1):
+        none = 0.0
+        for _ in range(DEPTH):
+            none = (1 - choice + choice * none) ** agreeing
+        weight = math.comb(TOKENS, agreeing) * threshold**agreeing * (1 - threshold) ** (TOKENS - agreeing)
+        chance += weight * none**count
+    return chance
+
+
+def trees(threshold: float) -> int:
+    return next(count for count in itertools.count(1) if missed(threshold, count) < MISSED)
+
+
 def candidates(sets: DataFrame, threshold: float) -> DataFrame:
     """``(a, b)``: links that connect all sets (``id``, ``sketch``) that are likely to be alike."""
-    roots = sets.withColumn("path", F.explode(F.array(*[F.lit(k).cast("long") for k in range(TREES)])))
+    roots = sets.withColumn("path", F.explode(F.array(*[F.lit(k).cast("long") for k in range(trees(threshold))])))
     found = None
     for depth in range(1, DEPTH + 1):
         children = stored(branches(roots, threshold), "paths")

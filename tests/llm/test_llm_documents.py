@@ -381,6 +381,24 @@ def test_near_dedup_of_large_groups(monkeypatch, spark):
     check_near(near_dedup.near_dedup(docs, 85, 3).collect(), rows, 85, 3)
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_trees_miss_fewer_than_one_in_a_thousand(monkeypatch, spark, threshold):
+    """By simulated trees of pairs at the threshold, and as many trees as the candidates are looked for in."""
+    rng = np.random.default_rng(2)
+    agreeing = rng.binomial(near_dedup.TOKENS, threshold, 200)
+    none = []
+    for a in agreeing:  # the share of trees of this pair without a common node at DEPTH
+        alive = np.ones(4000, np.int64)
+        for _ in range(near_dedup.DEPTH):
+            alive = rng.binomial(alive * a, 1 / (threshold * near_dedup.TOKENS))
+        none.append((alive == 0).mean())
+    rooted = []
+    monkeypatch.setattr(near_dedup, "branches", lambda roots, _: rooted.append(roots.count()) or roots.select("id", "path"))
+    sets = spark.createDataFrame([(1, bytes(4 * near_dedup.TOKENS))], "id long, sketch binary")
+    near_dedup.candidates(sets, threshold)
+    assert np.mean(np.array(none) ** rooted[0]) < 0.0013  # 0.001 and what simulation may be off
+
+
 @pytest.mark.parametrize("width", [3, 5])
 def test_shingles_of_few_words_alone(width):
     for words in (["a"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c", "d"], list("abcde"), list("abcdef")):
