@@ -5,9 +5,11 @@ text, the number of tags met in it and the elements around it. The ratio of char
 each line is smoothed by a Gaussian over its neighbours, and a threshold from two-means clustering
 tells lines of content from the others. The element that holds most of the content found so, widened
 to the article or main element or else to the outermost below the body, is the region: its lines are
-the text, short ones too, but for what is within menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments, by element, role, class or id, and lines outside an
-article that are mostly links.
+the text, short ones too, as are those of all other regions that hold content, and lines of content that
+are in none. Without such an element all lines are. Left out is what is within menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments, by element, role, class or id, and lines outside an
+article that are mostly links. Words of a class or id that also name parts of a text (DOUBTFUL) leave an element
+out only if most of its characters are in lines that are not content, or in links; the id of a heading says nothing.
 
 Defined results: a null page counts as empty and has an empty text, as has a page without content.
 White space (as in str.split) within a line becomes one space. Markup that is never closed ends
@@ -35,15 +37,19 @@ BLOCKS = frozenset(
     "section select summary table tbody td tfoot th thead title tr ul".split()
 )
 SKIPPED = frozenset(
-    "aside audio button canvas dialog footer form head header iframe input math menu nav noscript object option "
+    "aside audio button canvas dialog footer form head header iframe input menu nav noscript object option "
     "script select style svg template textarea title video".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 HINTS = frozenset(
-    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "discussion disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice popup promo "
-    "related reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
+    "ad ads advert advertisement adverts breadcrumb breadcrumbs comment comments cookie cookies "
+    "disqus gdpr masthead navbar popup promo sidebar signup topbar".split()
 )
+DOUBTFUL = frozenset(
+    "advertising banner consent discussion footer header menu modal nav navigation newsletter notice "
+    "related reply respond share sharing social sponsor sponsored subscribe toolbar widget".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose class or id says nothing about their being content.
 WHOLE = frozenset("html body main article".split())
 #: Elements a region can be, besides article and main.
@@ -60,18 +66,24 @@ UNCLOSED = re.compile(r"<[!/?a-zA-Z]")
 WORD = re.compile(r"[a-z]+")
 
 
-def is_skipped(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+def hint(tag: str, attributes: list[tuple[str, str | None]]) -> str | None:
+    """Whether an element is ``skipped`` or ``doubtful``, or neither."""
     if tag in SKIPPED:
-        return True
+        return "skipped"
     if tag in WHOLE:
-        return False
+        return None
+    found = None
     for name, value in attributes:
         value = (value or "").lower()
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and not HINTS.isdisjoint(WORD.findall(value)):
-            return True
-    return False
+            return "skipped"
+        if name == "class" or name == "id" and tag not in HEADINGS:
+            words = WORD.findall(value)
+            if not HINTS.isdisjoint(words):
+                return "skipped"
+            if not DOUBTFUL.isdisjoint(words):
+                found = "doubtful"
+    return found
 
 
 class Lines(HTMLParser):
@@ -81,6 +93,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.found: list[tuple[str, int, int, tuple[int, ...], bool]] = []
         self.names: list[str] = []  # of all elements, by number
+        self.doubtful: set[int] = set()
         self.open: list[tuple[str, int, bool]] = []  # name, number, skipped
         self.parts: list[str] = []
         self.tags = self.linked = self.links = 0
@@ -104,8 +117,9 @@ class Lines(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
-        skipped = is_skipped(tag, attrs)
-        if tag in BLOCKS or (skipped and not (self.open and self.open[-1][2])):
+        said = hint(tag, attrs)
+        skipped = said == "skipped"
+        if tag in BLOCKS or (said and not (self.open and self.open[-1][2])):
             self.end_line()
             self.leave(("p",), frozenset(("button",)) | WHOLE)
             if tag in ITEMS:
@@ -116,6 +130,8 @@ class Lines(HTMLParser):
         if tag not in VOID:
             self.links += tag == "a"
             self.open.append((tag, len(self.names), skipped or bool(self.open) and self.open[-1][2]))
+            if said == "doubtful":
+                self.doubtful.add(len(self.names))
             self.names.append(tag)
 
     def handle_startendtag(self, tag, attrs):
@@ -124,7 +140,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         mine = next((x for x in reversed(self.open) if x[0] == tag), None)
         above = self.open[self.open.index(mine) - 1][2] if mine and self.open.index(mine) else False
-        if tag in BLOCKS or (mine and mine[2] and not above):
+        if tag in BLOCKS or (mine and (mine[2] or mine[1] in self.doubtful) and not above):
             self.end_line()
         self.tags += 1
         if mine:
@@ -156,6 +172,26 @@ def content(ratios: np.ndarray) -> np.ndarray:
     return above
 
 
+def left_out(parser: Lines, above: np.ndarray) -> np.ndarray:
+    """Which lines are within what is skipped, of content (``above``) or not."""
+    sizes: dict[int, list[int]] = {}
+    for (text, _, linked, around, skipped), high in zip(parser.found, above, strict=True):
+        for element in parser.doubtful.intersection(around) if not skipped else ():
+            held = sizes.setdefault(element, [0, 0, 0])
+            held[0] += len(text)
+            held[1] += len(text) if high else 0
+            held[2] += linked
+    no_text = {element for element, (size, high, linked) in sizes.items() if 2 * high < size or 2 * linked > size}
+    return np.array([skipped or not no_text.isdisjoint(around) for *_, around, skipped in parser.found], bool)
+
+
+def region_of(names: list[str], path: tuple[int, ...]) -> int | None:
+    """The outermost article or main element of a path, or else the outermost that a region can be."""
+    wide = [x for x in path if names[x] in ("article", "main")]
+    inner = [x for x in path if names[x] in REGIONS]
+    return wide[0] if wide else inner[0] if inner else None
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page."""
     parser = Lines()
@@ -168,28 +204,29 @@ def main_text(html: str | None) -> str:
     if not any(not line[4] for line in lines):
         return ""
     above = content(smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines])))
-    usable = np.array([not line[4] for line in lines])
-    seeds = np.flatnonzero(above & usable)
+    out = left_out(parser, above)
+    seeds = np.flatnonzero(above & ~out)
     if not len(seeds):
-        seeds = np.flatnonzero(usable)
+        seeds = np.flatnonzero(~out)
     held: dict[int, int] = {}
     for i in seeds:
         for element in lines[i][3]:
             held[element] = held.get(element, 0) + len(lines[i][0])
     total = sum(len(lines[i][0]) for i in seeds)
     core = max((element for element, size in held.items() if size >= MOST * total), default=None)
-    region, article = None, False
+    region = None
     if core is not None:
         path = next(lines[i][3] for i in seeds if core in lines[i][3])
-        path = path[: path.index(core) + 1]
-        wide = [x for x in path if parser.names[x] in ("article", "main")]
-        inner = [x for x in path if parser.names[x] in REGIONS]
-        region = wide[0] if wide else inner[0] if inner else None
-        article = bool(wide)
+        region = region_of(parser.names, path[: path.index(core) + 1])
+    # Without one region for most of the content there is no saying what lies outside.
+    regions = {region_of(parser.names, lines[i][3]) for i in seeds} | {region} if region is not None else set()
+    chosen = set(seeds.tolist())
     kept = []
-    for i, (text, _, linked, around, skipped) in enumerate(lines):
-        if skipped or (region is not None and region not in around):
+    for i, (text, _, linked, around, _) in enumerate(lines):
+        own = next((x for x in around if x in regions), None)
+        if out[i] or (regions and own is None and i not in chosen):
             continue
+        article = own is not None and parser.names[own] in ("article", "main")
         if not article and not above[i] and 2 * linked > len(text):
             continue
         kept.append(text)

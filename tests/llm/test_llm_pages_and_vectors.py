@@ -171,6 +171,27 @@ def test_main_text_without_an_article():
     assert html_text.main_text(page) == f"{(story * 3).strip()} Short."
 
 
+STORY = "A sentence of the text that goes on for quite a while, as sentences in pages do."
+
+
+def test_main_text_keeps_content_whatever_its_class_or_id_says():
+    page = f"""<body><div class="menu"><a href=a>Home</a> <a href=b>News</a></div><article><h1>Title</h1><p>{STORY * 3}</p>
+    <h2 id="Header_files">Header files</h2><p>{STORY} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>
+    <section id="discussion"><h2>Discussion</h2><p>{STORY * 3}</p></section>
+    <div class="related social"><a href=c>Other</a> <a href=d>Share</a></div><p>{STORY * 2}</p></article></body>"""
+    text = f"Title {STORY * 3} Header files {STORY} x=2 Discussion {STORY * 3} {STORY * 2}"
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+@pytest.mark.parametrize("sizes", [(6, 2, 2), (5, 3, 2), (2, 6, 2), (8, 2)])
+def test_main_text_of_several_regions(tag, sizes):
+    paragraph = f"<p>{STORY * 3}</p>"
+    parts = "".join(f"<{tag}>{paragraph * n}</{tag}>" for n in sizes)
+    page = f"<body><nav><a href=a>Home</a></nav>{parts}{paragraph * 2}<footer>&copy;</footer></body>"
+    assert html_text.main_text(page) == " ".join([STORY * 3] * (sum(sizes) + 2))
+
+
 def test_html_of_odd_rows(spark):
     rows = [(1, None, "<p>x"), (None, "u", None), (1, None, "<p>x"), (2, "v", "<p>" + "long " * 200_000)]
     table = spark.createDataFrame([(*r, *[None] * 5) for r in rows], PAGES)
