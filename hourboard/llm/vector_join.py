@@ -39,6 +39,8 @@ BLOCK = 8192
 STRIDE = 1024
 #: By how much single precision may be off.
 SLACK = 1e-4
+#: Pivots this near to each other have no border: rounding would spoil the division by their distance.
+NEAR = 1e-3
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -91,8 +93,8 @@ class Cells:
     def visited(self, home: np.ndarray, far: np.ndarray) -> np.ndarray:
         """Which cells each vector visits besides its home."""
         near = far[np.arange(len(home)), home][:, None]
-        apart = np.maximum(self.apart[home], 1e-12)
-        beyond_border = (far * far - near * near) / (2 * apart) > self.reach
+        apart = self.apart[home]
+        beyond_border = (apart > NEAR) & ((far * far - near * near) / (2 * np.maximum(apart, NEAR)) > self.reach)
         beyond_radius = far > self.radius[None, :] + self.reach
         return self.visits[home] & ~beyond_border & ~beyond_radius
 

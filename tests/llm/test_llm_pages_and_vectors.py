@@ -255,6 +255,26 @@ def test_vector_join(monkeypatch, spark, per_pivot, block, stride):
     assert vector_join.vector_join(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width", [3, 64])
+def test_pivots_that_are_copies_of_one_direction_lose_no_partner(width):
+    """Vectors about one direction, dealt over the cells of two scaled copies of it."""
+    lost = links = 0
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        centre = rng.normal(size=width).astype(np.float32)
+        pivots = np.stack([centre, centre * np.float32(3.3)]).astype(float)
+        around = rng.normal(size=(300, width)) * rng.choice([0.02, 0.1, 0.4], size=(300, 1)) + centre
+        units = vector_join.unit(around)
+        cells = vector_join.Cells(vector_join.unit(pivots), 0.9)
+        home, far = cells.homes(units)
+        visits = cells.visited(home, far)
+        linked = np.triu(units @ units.T >= 0.9, 1) & (home[:, None] != home[None, :])
+        met = visits[:, home] | visits[:, home].T
+        links += linked.sum()
+        lost += (linked & ~met).sum()
+    assert links > 1000 and not lost
+
+
 def test_vector_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     check_vectors(queries()["op7_vector_join"](spark, SMALL).collect(), rows)
