@@ -102,9 +102,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset``."""
-    parts = stored(parts, "pieces")
+    # By place in the table as stored, so that equal pieces spread too.
+    parts = stored(parts.withColumn("place", F.monotonically_increasing_id()), "pieces")
     groups = max(1, math.ceil(parts.count() / GROUP_PIECES))
-    group = F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(groups))
+    group = F.pmod(F.xxhash64("place"), F.lit(groups))
 
     def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([id_col, "piece", "ids_crc32"], ignore_index=True)
@@ -113,7 +114,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
         return rows.assign(bin=sequence, offset=offset, filled=fill[sequence].astype(np.int64))
 
     columns = f"{id_col} {PIECES}, group long, bin long, offset long, filled long"
-    placed = parts.withColumn("group", group).groupBy("group").applyInPandas(pack_group, columns)
+    placed = parts.withColumn("group", group).drop("place").groupBy("group").applyInPandas(pack_group, columns)
     placed = stored(placed, "packed")
 
     def pack_open(rows: pd.DataFrame) -> pd.DataFrame:

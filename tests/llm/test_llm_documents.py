@@ -201,6 +201,17 @@ def test_packing_joins_open_sequences_of_groups(monkeypatch, spark, small, token
     assert used <= 1.05 * least + 1
 
 
+def test_packing_spreads_equal_pieces(monkeypatch, spark):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 100)
+    parts = spark.range(2000).selectExpr(
+        "CAST(NULL AS long) AS doc_id", "0 AS piece", "0L AS start", "1L AS length", "7L AS ids_crc32"
+    )
+    found = packing.pack(parts, 2).collect()
+    assert len(found) == 2000 and len({(r.sequence_id, r.offset) for r in found}) == 2000
+    full = Counter((r.sequence_id // 2) >> 32 for r in found if r.sequence_id % 2 == 0)
+    assert len(full) == 20 and max(full.values()) < 200
+
+
 def test_packing_query(spark, small, tokenizer):
     used, least = check_packing(queries()["op6_packing"](spark, SMALL).collect(), [(d, t) for d, t, _ in small], tokenizer)
     assert used <= least + 2
