@@ -15,7 +15,8 @@ together once, and links are confirmed on these, between sets that are not yet c
 ones first. A component of over BLOCK sets is split at random into blocks, each with the
 component's first set. Sets that do not end up connected with that first one are then sent to the
 other blocks and compared with all sets there. So every pair that is not connected otherwise is
-compared, and no task holds more than a block.
+compared. A task of the first round holds no more than a block; one of the second holds a block and all that is
+sent to it, which of N sets without links of their own is N.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing. With fewer words
 than a shingle has, the whole sequence is the one shingle. Repeated rows have equal sets; rows that share
@@ -308,7 +309,7 @@ def confirmed(members: DataFrame, percent: int, keys: list[str], guest: bool) ->
             guests = int(pc.sum(group.column("guest")).as_py()) if guest else 0
             if guest and guests in (0, len(ids)):
                 continue
-            # Guests come some at a time, so that a group takes no more room than two blocks.
+            # Guests are compared some at a time; the group itself is held whole.
             stay = np.arange(guests, len(ids))
             for at in range(0, max(1, guests), BLOCK):
                 some = np.concatenate([np.arange(at, min(at + BLOCK, guests)), stay])
