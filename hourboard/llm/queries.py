@@ -1,6 +1,18 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from hourboard.llm import byte_bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality, token_files, url_filter, vector_join
+from hourboard.llm import (
+    byte_bpe,
+    exact_dedup,
+    html_text,
+    language_id,
+    near_dedup,
+    packing,
+    quality,
+    spelling,
+    token_files,
+    url_filter,
+    vector_join,
+)
 
 REGISTRY = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
@@ -13,6 +25,7 @@ REGISTRY = {
     "op8_token_files": token_files.op8_token_files,
     "op9_language_id": language_id.op9_language_id,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 ORACLE = {"op3_exact_dedup": exact_dedup.SQL}
