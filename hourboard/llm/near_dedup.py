@@ -71,8 +71,8 @@ STEP = np.uint64(0xD1342543DE82EF95)
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word of ``texts`` in turn, and the row each word is from."""
+def words_of(texts: pa.Array, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of ``texts`` in turn, its bytes taken through ``fold``, and the row each word is from."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
@@ -91,7 +91,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     # Sums of byte codes times powers; a word's is the difference of two, scaled to its start.
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), STEP)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[LOWER[data]] * powers[:-1])])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[fold[data]] * powers[:-1])])
         scale = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), BACK)]))
         return mixed((sums[ends] - sums[starts]) * scale[starts] + (ends - starts).astype(np.uint64)), rows
 

@@ -8,6 +8,7 @@ from hourboard.llm import (
     near_dedup,
     packing,
     quality,
+    repeats,
     spelling,
     token_files,
     url_filter,
@@ -25,7 +26,8 @@ REGISTRY = {
     "op8_token_files": token_files.op8_token_files,
     "op9_language_id": language_id.op9_language_id,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op12_substring_dedup": repeats.op12_substring_dedup,
     "op13_spelling": spelling.op13_spelling,
 }
 
-ORACLE = {"op3_exact_dedup": exact_dedup.SQL}
+ORACLE = {"op3_exact_dedup": exact_dedup.SQL, "op12_substring_dedup": repeats.SQL}
