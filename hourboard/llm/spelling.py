@@ -7,9 +7,9 @@ least one pivot of either word alone; of two near words, at least one has a pivo
 prefix. So pivots are indexed and other words look them up by their prefixes, and nothing else is compared.
 
 Positions narrow the search: with one edit, all to the left of a gram that is left alone or all to the right
-of it is equal. So a gram is looked up together with what is on one side of it (the word's start up to
-the gram, or its rest from the gram on), in words of a length that differs by one at most. What that finds is
-confirmed by the edit distance.
+of it is equal, and of the side with the edit one half is. So a gram is looked up together with one whole side
+and half of the other, in words of a length that differs by one at most. What that finds is confirmed by the edit
+distance.
 
 The only table held by every task are the counts of bigrams, at most 8,100 of an alphabet of 90 letters.
 
@@ -88,34 +88,65 @@ def prefix_and_pivots(word: str, ranks: dict[str, int]) -> tuple[list[int], set[
     return [p for p, _ in prefix], set(best[1:]) if best else set()
 
 
-def gram_index(words: DataFrame) -> DataFrame:
-    """``(key, letters, word, n, pivot)``: each gram of a word's prefix with either side of it."""
+def grams_of(words: DataFrame) -> DataFrame:
+    """``(word, n, p, pivot)``: the position of each gram in the prefix of a word."""
     ranks = gram_ranks(words)
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            at, places, pivot = [], [], []
+            for row, word in enumerate(batch.column(0).to_pylist()):
                 prefix, pivots = prefix_and_pivots(word, ranks)
-                for p in prefix:
-                    rows += [(side, len(word), word, n, p in pivots) for side in ("<" + word[: p + GRAM], ">" + word[p:])]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.bool_())
+                at += [row] * len(prefix)
+                places += prefix
+                pivot += [p in pivots for p in prefix]
+            rows = batch.take(pa.array(at, pa.int32()))
             yield pa.record_batch(
-                [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
-                ["key", "letters", "word", "n", "pivot"],
+                [*rows.columns, pa.array(places, pa.int32()), pa.array(pivot, pa.bool_())], ["word", "n", "p", "pivot"]
             )
 
-    return words.select("word", "n").mapInArrow(run, "key string, letters int, word string, n long, pivot boolean")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, p int, pivot boolean")
+
+
+def keyed(grams: DataFrame, word: str, n: str, own: str, other: str) -> DataFrame:
+    """``(key, own, other, word, n)``: what each gram is looked up by, for a partner of ``other`` letters.
+
+    A gram at ``p`` leaves ``m`` letters to its right in the shorter of the two words, ``q`` to its left. With the
+    edit to the right, the letters up to the gram are equal, and with them the first half of the ``m`` letters or
+    the last; with the edit to the left, all from the gram on, and half of the ``q``.
+    """
+    around = F.explode(F.array(*[F.length("word") + d for d in (-1, 0, 1)]))
+    rows = grams.withColumn("other", around).withColumn("own", F.length("word"))
+    short = F.least("own", "other")
+    m, q, text, p = short - F.col("p") - GRAM, short - F.col("own") + F.col("p"), F.col("word"), F.col("p")
+    first, last = (m / 2).cast("int"), (q / 2).cast("int")
+
+    def start(length: Column) -> Column:
+        return F.substring(text, F.lit(1), length)
+
+    def end(length: Column) -> Column:
+        return F.substring(text, F.col("own") - length + 1, length)
+
+    bar = F.lit("|")
+    right = [F.concat(F.lit("a"), start(p + GRAM + first)), F.concat(F.lit("b"), start(p + GRAM), bar, end(m - first))]
+    left = [
+        F.concat(F.lit("c"), start(last), bar, end(F.col("own") - p)),
+        F.concat(F.lit("d"), end(F.col("own") - p + q - last)),
+    ]
+    nothing = F.array().cast("array<bigint>")
+    keys = F.concat(
+        F.when(m >= 0, F.array(*map(F.xxhash64, right))).otherwise(nothing),
+        F.when(q >= 0, F.array(*map(F.xxhash64, left))).otherwise(nothing),
+    )
+    return rows.select(F.explode(keys).alias("key"), F.col("own").alias(own), F.col("other").alias(other), F.col("word").alias(word), F.col("n").alias(n))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """``(word, n, near, near_n)``: all pairs of ``words`` (``word``, ``n``) that are one edit apart, both ways."""
-    index = stored(gram_index(words), "grams")
-    around = F.explode(F.array(*[F.col("letters") + d for d in (-1, 0, 1)]))
-    pivots = index.where("pivot").select("key", around.alias("letters"), "word", "n")
-    others = index.select("key", "letters", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    maybe = pivots.join(others, ["key", "letters"]).where(
+    grams = stored(grams_of(words), "grams")
+    pivots = keyed(grams.where("pivot"), "word", "n", "own", "other")
+    prefixes = keyed(grams, "near", "near_n", "other", "own")
+    maybe = pivots.join(prefixes, ["key", "own", "other"]).where(
         (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
     )
     one = maybe.select("word", "n", "near", "near_n")

@@ -1,12 +1,11 @@
 """Spelling variants against brute force over all pairs of words."""
 
+import random
 import re
 import zlib
 from collections import Counter
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 
 from __spark_entry__ import queries
 from hourboard.llm import spelling
@@ -84,22 +83,18 @@ def test_chains_ties_and_repeated_letters(spark):
     assert ("aaaaaa", "aaaaaaa", "aaaaaaaaa", 5, 3, 30) in found
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text("ab", min_size=6, max_size=9), st.integers(0, 99), st.sampled_from("abc"), st.lists(st.text("abc", min_size=6, max_size=9), max_size=8))
-def test_near_words_share_a_pivot_and_a_prefix_gram(word, at, letter, others):
-    at %= len(word)
-    for other in (word[:at] + letter + word[at:], word[:at] + word[at + 1 :], word[:at] + letter + word[at + 1 :]):
-        if other == word or min(len(word), len(other)) < 6:
-            continue
-        counts = Counter(w[p : p + 2] for w in (word, other, *others) for p in range(len(w) - 1))
-        ranks = {gram: rank for rank, gram in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
-
-        def keys(w, pivots_only):
-            prefix, pivots = spelling.prefix_and_pivots(w, ranks)
-            chosen = pivots if pivots_only else prefix
-            return {k for p in chosen for k in ("<" + w[: p + 2], ">" + w[p:])}
-
-        assert keys(word, True) & keys(other, False) or keys(other, True) & keys(word, False)
+def test_all_near_words_of_short_alphabets(spark):
+    """Few letters and all edits: grams that repeat, at both ends, and words that are near in several ways."""
+    rng = random.Random(5)
+    words = {}
+    for _ in range(250):
+        word = "".join(rng.choice("ab") for _ in range(rng.randint(6, 9)))
+        at, letter = rng.randrange(len(word)), rng.choice("abc")
+        for other in (word, word[:at] + letter + word[at:], word[:at] + word[at + 1 :], word[:at] + letter + word[at + 1 :]):
+            if len(other) >= 6:
+                words[other] = rng.choice([5, 6, 40, 41, 300])
+    frame = spark.createDataFrame(list(words.items()), "word string, n long")
+    assert rows_of(spelling.variants(frame)) == brute_variants(words)
 
 
 @pytest.mark.parametrize("word", ["abcdef", "aaaaaa", "abcabcabc"])
