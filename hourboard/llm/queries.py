@@ -2,6 +2,7 @@
 
 from hourboard.llm import (
     byte_bpe,
+    conversations,
     exact_dedup,
     html_text,
     language_id,
@@ -26,6 +27,7 @@ REGISTRY = {
     "op8_token_files": token_files.op8_token_files,
     "op9_language_id": language_id.op9_language_id,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_substring_dedup": repeats.op12_substring_dedup,
     "op13_spelling": spelling.op13_spelling,
 }
