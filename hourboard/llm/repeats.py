@@ -12,7 +12,7 @@ outside matter. Each symbol comes with its *reach*: the words that have to be th
 Rounds of Spark jobs find the symbols that are shared, from level to level (:data:`ROUNDS`): every unit (some
 megabyte of texts) names the symbols of what is still open, a shuffle by name tells which ones another document
 has, and a window that holds the whole reach of a symbol nobody else has is no repeat. What is left is
-verified: a shuffle by digest of the windows' bytes finds the smallest id of each.
+verified: a shuffle by digest (96 bits) of the windows' bytes finds the smallest id of each.
 
 Texts are moved once only, into a table bucketed by unit; what the rounds find comes back to it by unit. A name
 goes out once a unit, or twice where documents of it share it, so the rows of a frequent one are
@@ -32,6 +32,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -204,8 +205,19 @@ def shared_names(texts: DataFrame, side: DataFrame, level: int, before: tuple, w
     )
 
 
+def digests(text: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A digest of each piece of ``text``, ``high`` and ``low``."""
+    pieces = (text[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True))
+    found = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), np.dtype([("high", "<i8"), ("low", "<i4"), ("rest", "<i4")]))
+    return found[["high", "low"]]
+
+
 def repeated_windows(texts: DataFrame, side: DataFrame, rounds: tuple, width: int) -> DataFrame:
-    """As SIDE: the windows that a document of a smaller id has too, as place and number of the first word."""
+    """As SIDE: the windows that a document of a smaller id has too, as place and number of the first word.
+
+    A unit asks once for each digest, with its smallest id; its windows of larger ids are known to go, and are
+    passed on in a row without id.
+    """
 
     def run(texts: pa.Table, side: pa.Table) -> pa.Table:
         unit = Unit(texts, side, width)
@@ -214,38 +226,44 @@ def repeated_windows(texts: DataFrame, side: DataFrame, rounds: tuple, width: in
         starts = np.flatnonzero(unit.open)
         bounds = np.searchsorted(unit.rows, np.arange(len(ids) + 1))
         edges = np.searchsorted(starts, bounds)
-        held, sure = {}, []
-        for place in sorted(np.flatnonzero(np.diff(edges)).tolist(), key=ids.__getitem__):
+        keys, owners, at = [np.zeros(0, np.dtype([("high", "<i8"), ("low", "<i4")]))], [], []
+        for place in np.flatnonzero(np.diff(edges)).tolist():
             words = column[place].as_py().encode().split()
-            text = b" ".join(words)
+            own = starts[edges[place] : edges[place + 1]] - bounds[place]
             ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-            begins = np.concatenate([[0], ends[:-1]]).tolist()
-            ends = (ends - 1).tolist()
-            for start in (starts[edges[place] : edges[place + 1]] - bounds[place]).tolist():
-                piece = text[begins[start] : ends[start + width - 1]]
-                digest = hashlib.blake2b(piece, digest_size=12).digest()
-                known = held.setdefault(digest, (ids[place], []))
-                (known[1] if known[0] == ids[place] else sure).append(place << 32 | start)
-        digests = np.frombuffer(b"".join(held), np.dtype([("high", "<i8"), ("low", "<i4")]))
-        at = [np.array(found, np.int64).tobytes() for _, found in held.values()]
-        if sure:
-            at.append(np.array(sure, np.int64).tobytes())
-        more = [None] * bool(sure)
+            begins = np.concatenate([[0], ends[:-1]])
+            keys.append(digests(b" ".join(words), begins[own], ends[own + width - 1] - 1))
+            owners.append(np.full(len(own), ids[place]))
+            at.append(own | (place << 32))
+        keys, owners, at = np.concatenate(keys), np.concatenate([*owners, []]).astype(np.int64), np.concatenate([*at, []]).astype(np.int64)
+        order = np.lexsort((at, owners, keys["low"], keys["high"]))
+        keys, owners, at = keys[order], owners[order], at[order]
+        first = np.ones(len(keys), bool)
+        first[1:] = keys[1:] != keys[:-1]
+        group = np.cumsum(first) - 1
+        least = owners[first]
+        asks = owners == least[group] if len(keys) else first
+        sizes = np.bincount(group[asks], minlength=len(least)) if len(keys) else np.zeros(0, np.int64)
+        sure = at[~asks]
+        offsets = np.concatenate([[0], np.cumsum(sizes), *([[len(at)]] if len(sure) else [])]).astype(np.int32) * 8
+        data = np.concatenate([at[asks], sure])
+        found = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+        number = unit.number or 0
+        extra = np.full(len(offsets) - 1 - len(least), mixed(np.array([number], np.uint64)).view(np.int64)[0])
+        known = np.concatenate([least, np.zeros(len(extra), np.int64)])
         return pa.table(
             {
-                "high": pa.array([*digests["high"].tolist(), *more], pa.int64()),
-                "low": pa.array([*digests["low"].tolist(), *more], pa.int32()),
-                "id": pa.array([*[known for known, _ in held.values()], *more], pa.int64()),
-                "unit": pa.array([unit.number or 0] * len(at), pa.int64()),
-                "at": pa.array(at, pa.binary()),
+                "high": pa.array(np.concatenate([keys["high"][first], extra])),
+                "low": pa.array(np.concatenate([keys["low"][first], np.zeros(len(extra), np.int32)]).astype(np.int32)),
+                "id": pa.array(known, mask=np.arange(len(known)) >= len(least)),
+                "unit": pa.array(np.full(len(known), number)),
+                "at": found,
             }
         )
 
-    windows = stored(by_unit(texts, side, run, "high long, low int, id long, unit long, at binary"), "windows")
-    asked = windows.where("id is not null")
-    first = F.first("id").over(Window.partitionBy("high", "low").orderBy("id"))
-    later = asked.select("unit", "at", (first < F.col("id")).alias("later")).where("later").select("unit", "at")
-    found = later.unionByName(windows.where("id is null").select("unit", "at"))
+    asked = by_unit(texts, side, run, "high long, low int, id long, unit long, at binary")
+    first = F.min("id").over(Window.partitionBy("high", "low").orderBy(F.col("id").asc_nulls_last()))
+    found = asked.select("unit", "at", (F.col("id").isNull() | (first < F.col("id"))).alias("later")).where("later")
     return found.select("unit", F.lit(REMOVED).alias("kind"), F.lit(0).cast("long").alias("value"), "at")
 
 
