@@ -5,6 +5,9 @@
     reprocess --date YYYY-MM-DD
     import-signage --sheet PATH --table T    copy a CSV sheet to a signage table
 
+With ``--max-rejects N`` a text log is landed as Parquet first, and up to N broken records in it are put aside;
+what they are is printed to standard error. Without, a broken record fails the load.
+
 Prints the run log as JSON lines and the summary after it. Exits with 0 when every day succeeded,
 2 when only some did, 1 otherwise.
 """
@@ -12,11 +15,19 @@ Prints the run log as JSON lines and the summary after it. Exits with 0 when eve
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from hourboard.jobs import ArgumentError, ImpressionJob, run_summary
+from hourboard.scratch import scratch_path
 from hourboard.sinks.environments import get_environment
-from hourboard.sources.readers import import_signage, read_requests, read_signage, read_signage_csv
+from hourboard.sources.readers import (
+    import_signage,
+    land_requests,
+    read_requests,
+    read_signage,
+    read_signage_csv,
+    reject_counts,
+)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -24,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--requests", required=True, help="request log: table, or path")
     common.add_argument("--requests-format", help="file format, when --requests is a path")
     common.add_argument("--log-date", help="UTC date column the log is partitioned by")
+    common.add_argument("--max-rejects", type=int, help="broken records of a text log to put aside at most")
+    common.add_argument("--landing", help="new folder for the landed log, instead of one in the scratch folder")
     common.add_argument("--signage", required=True, help="signage: table, or path of a sheet")
     common.add_argument("--signage-format", choices=("table", "csv"), default="table")
     common.add_argument("--environment", help="development, staging or production")
@@ -44,6 +57,17 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _requests(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.max_rejects is None:
+        return read_requests(spark, args.requests, args.requests_format, args.log_date)
+    place = args.landing or scratch_path(spark, "landed")
+    landed = land_requests(spark, args.requests, args.requests_format, place, args.log_date, args.max_rejects)
+    if landed.rejected:
+        for line in reject_counts(landed.rejects).orderBy("reason").toJSON().collect():  # one row a reason
+            print(line, file=sys.stderr)
+    return landed.requests
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("hourboard").getOrCreate()
@@ -55,7 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         is_sheet = args.signage_format == "csv"
         job = ImpressionJob(
             spark,
-            read_requests(spark, args.requests, args.requests_format, args.log_date),
+            _requests(spark, args),
             (read_signage_csv if is_sheet else read_signage)(spark, args.signage),
             environment.qualify(args.table) if args.table else environment.target,
             options={"log_date": args.log_date} if args.log_date else {},

@@ -22,10 +22,17 @@ def _log(url: str) -> str:
     return f"req AS (SELECT ts, ts + INTERVAL 9 HOUR AS jst, {text} AS url FROM events)"
 
 
+def _lines() -> str:
+    line, url = (text.format(S="varchar") for text in (testbed.JSON_LINE, testbed.BUSY_URL))
+    return f"""SELECT event_id, {line} AS record FROM (SELECT *, {url} AS url FROM events)
+        WHERE {testbed.BROKEN_RULE}"""
+
+
 def _signage(text: str) -> str:
     return f"signage AS ({text.format(S='varchar', supplier='supplier', customer='customer')})"
 
 
+ACCEPTED = _log(testbed.BUSY_URL)[:-1] + f" WHERE NOT {testbed.BROKEN_RULE})"
 BUSY, WIDE = _log(testbed.BUSY_URL), _log(testbed.WIDE_URL)
 ONCE, AGAIN = _signage(testbed.SUPPLIER_SIGNAGE), _signage(testbed.LISTED_AGAIN)
 
@@ -101,6 +108,11 @@ ORACLE: dict[str, str] = {
     ),
     "hourly_impressions_instants": _impressions(BUSY, ONCE),
     "stored_log_impressions": _impressions(BUSY, ONCE),
+    "stored_log_accepted": _impressions(ACCEPTED, ONCE),
+    "stored_log_rejects": f"""SELECT CASE WHEN event_id%97=5 OR event_id%89=7 THEN 'not a record'
+          ELSE 'timestamp that is none' END AS reason, record FROM ({_lines()})""",
+    "text_log_times": """SELECT event_id,
+          CASE WHEN event_id%7=3 THEN date_trunc('day', ts) ELSE ts END AS moment FROM events""",
     "hourly_impressions_devices": _impressions(WIDE, ONCE),
     "hourly_impressions_shuffled": _impressions(WIDE, ONCE),
     "signage_fanout": _impressions(WIDE, AGAIN),

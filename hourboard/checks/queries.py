@@ -1,6 +1,7 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame. Each reads whole tables."""
 
 import datetime as dt
+import sys
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -108,6 +109,38 @@ def stored_log_impressions(spark, sf_dir):
     return rows.withColumn("timestamp_hourly", times.utc_wall(F.col("timestamp_hourly"), ntz=False))
 
 
+def _landed(spark, sf_dir) -> readers.LandedLog:
+    """A JSON log with broken lines, landed."""
+    source = scratch_path(spark, "lines")
+    testbed.request_lines(spark, sf_dir).write.text(source)
+    return readers.land_requests(spark, source, "json", scratch_path(spark, "landed"), max_rejects=sys.maxsize)
+
+
+@query("stored_log_accepted")
+def stored_log_accepted(spark, sf_dir):
+    """Impressions of what a JSON log with broken lines holds besides them."""
+    rows = hourly_impressions(_landed(spark, sf_dir).requests, testbed.signage_table(spark, sf_dir), FIRST, LAST)
+    return rows.withColumn("timestamp_hourly", times.utc_wall(F.col("timestamp_hourly"), ntz=False))
+
+
+@query("stored_log_rejects")
+def stored_log_rejects(spark, sf_dir):
+    """Its broken lines and what is wrong with them."""
+    return _landed(spark, sf_dir).rejects.select("reason", "record")
+
+
+@query("text_log_times")
+def text_log_times(spark, sf_dir):
+    """The moments of a CSV log whose times have an offset, a zone or neither, as UTC wall clock."""
+    source = scratch_path(spark, "sheet")
+    testbed.request_sheet(spark, sf_dir).write.csv(source, header=True)
+    log = readers.read_requests(spark, source, "csv")
+    return log.select(
+        urls.safe_int(urls.param_text(tracking.request_url(), "send_ts")).alias("event_id"),
+        times.utc_wall(F.col("timestamp"), ntz=False).alias("moment"),
+    )
+
+
 @query("hourly_impressions_devices")
 def hourly_impressions_devices(spark, sf_dir):
     return hourly_impressions(

@@ -33,6 +33,24 @@ WIDE_URL = """
     || '&creativeId=' || CAST(user_id%11 AS {S}) || '&deliveryId=' || CAST(user_id AS {S})
     || '#' || event_type"""
 
+# The same moment with and without an offset or zone; some are days only.
+TIME_TEXT = """
+    CASE event_id%7
+      WHEN 0 THEN CAST(ts AS {S}) || 'Z'
+      WHEN 1 THEN CAST(ts + INTERVAL 9 HOUR AS {S}) || '+09:00'
+      WHEN 2 THEN CAST(ts + INTERVAL 9 HOUR AS {S}) || ' Asia/Tokyo'
+      WHEN 3 THEN CAST(CAST(ts AS DATE) AS {S})
+      ELSE CAST(ts AS {S}) END"""
+
+# A line of a JSON log, for requests with a column ``url``; cut, of another format, or with a time that is none.
+BROKEN_RULE = "(event_id%97=5 OR event_id%89=7 OR event_id%83=11)"
+JSON_LINE = """
+    CASE WHEN event_id%97=5 THEN '{{"timestamp": "2024-01-1' || CAST(event_id AS {S})
+      WHEN event_id%89=7 THEN 'GET /tracking?event=complete&send_ts=' || CAST(event_id AS {S})
+      ELSE '{{"severity": "INFO", "timestamp": "' || CASE WHEN event_id%83=11 THEN 'yesterday'
+        WHEN event_id%2=0 THEN CAST(ts AS {S}) ELSE CAST(ts + INTERVAL 9 HOUR AS {S}) || '+09:00' END
+        || '", "httpRequest": {{"requestUrl": "' || url || '", "status": 200}}}}' END"""
+
 SUPPLIER_SIGNAGE = """
     SELECT 'dev-' || CAST(s_suppkey AS {S}) AS fully_device_id,
       CASE s_suppkey%4 WHEN 0 THEN '' WHEN 1 THEN '08:30' WHEN 2 THEN NULL ELSE '10:15' END
@@ -88,6 +106,20 @@ def request_log(spark: SparkSession, sf_dir: str, url: str = BUSY_URL) -> DataFr
     )
 
 
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the lines (``value``) of a JSON log with broken ones among them."""
+    events = read(spark, sf_dir, "events")
+    with_url = events.select("*", F.inline(F.array(F.struct(F.expr(BUSY_URL.format(S="string")).alias("url")))))
+    return with_url.select(F.expr(JSON_LINE.format(S="string")).alias("value"))
+
+
+def request_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a CSV log with times of several forms, and more columns than needed."""
+    events = read(spark, sf_dir, "events")
+    url, time = F.expr(WIDE_URL.format(S="string")), F.expr(TIME_TEXT.format(S="string"))
+    return events.select(F.lit(200).alias("status"), url.alias("requestUrl"), "event_id", time.alias("timestamp"))
+
+
 def signage_table(spark: SparkSession, sf_dir: str, text: str = SUPPLIER_SIGNAGE) -> DataFrame:
     tables = {name: read(spark, sf_dir, name) for name in ("supplier", "customer")}
     return spark.sql(text.replace("{S}", "string"), **tables)

@@ -26,6 +26,20 @@ def utc_wall(ts: Column, ntz: bool) -> Column:
     )
 
 
+# A time of day with something behind it: an offset or the name of a zone.
+ZONED_PATTERN = r"^\s*[+-]?[0-9]{4,}-.*[T ][0-9]{1,2}(:[0-9:.]*)?\s*[^0-9:.\s]"
+
+
+def instant_of(text: Column) -> Column:
+    """The instant a text names, NULL if none; without offset or zone it is UTC, whatever the session's zone.
+
+    ``text`` is used several times and should be a plain column.
+    """
+    zoneless = text.try_cast("timestamp_ntz").cast("string")
+    utc = F.concat(zoneless, F.lit("+00:00")).try_cast("timestamp")
+    return F.when(text.rlike(ZONED_PATTERN), text.try_cast("timestamp")).otherwise(utc)
+
+
 def local_ts(ts: Column, ntz: bool) -> Column:
     """Tokyo wall clock."""
     return utc_wall(ts, ntz) + F.expr(f"INTERVAL {JST_HOURS} HOURS")

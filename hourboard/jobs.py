@@ -13,6 +13,7 @@ from hourboard.functions import times
 from hourboard.plans.impressions import hourly_impressions, with_business_date
 from hourboard.schemas import RUN_LOG_SCHEMA
 from hourboard.sinks import target
+from hourboard.sources import readers
 
 
 class ArgumentError(ValueError):
@@ -117,7 +118,8 @@ class ImpressionJob:
     ) -> DataFrame:
         """All days in one pass over the log; a range that fails is halved, down to single days.
 
-        What cannot be analysed fails for all days at once, without a second try.
+        What cannot be analysed fails for all days at once, without a second try, and so does a text log with
+        a broken record, which every day would read again; unless it is partitioned by ``log_date``.
         """
         return self._log(self._load_span(*run_dates(start, end)))
 
@@ -128,7 +130,8 @@ class ImpressionJob:
             message, days = _message(error), target.days_between(first, last)
             if len(days) > 1:
                 self.range_errors.append((first, last, message))
-            if len(days) == 1 or isinstance(error, AnalysisException):
+            broken = readers.MALFORMED in message and not self.options.get("log_date")
+            if len(days) == 1 or broken or isinstance(error, AnalysisException):
                 return [(day, False, None, message) for day in days]
             middle = days[(len(days) - 1) // 2]
             return self._load_span(first, middle) + self._load_span(middle + dt.timedelta(days=1), last)

@@ -13,6 +13,7 @@ from hourboard.__main__ import main
 from hourboard.functions import times
 from hourboard.jobs import ArgumentError, ImpressionJob, run_summary
 from hourboard.schemas import RUN_LOG_SCHEMA
+from hourboard.sources import readers
 
 D20, D21, D22 = (dt.date(2025, 3, day) for day in (20, 21, 22))
 
@@ -122,6 +123,25 @@ def test_a_failed_range_is_halved_and_keeps_its_error(job, monkeypatch):
     assert all("bad log" in message for *_, message in job.range_errors)
 
 
+def test_a_broken_record_of_a_text_log_fails_all_days_at_once(job, monkeypatch, tmp_path):
+    job.requests.write.json(str(tmp_path / "log"))
+    (tmp_path / "log" / "more.json").write_text('{"timestamp": "2025-03-\n')
+    loads = []
+    load = ImpressionJob._load
+    monkeypatch.setattr(
+        ImpressionJob, "_load", lambda self, *span: loads.append(span) or load(self, *span)
+    )
+    job.requests = readers.read_requests(job.spark, str(tmp_path / "log"), "json")
+    log = entries(job.run_range("2025-03-20", "2025-03-22"))
+    assert [entry[:3] for entry in log] == [(day, False, None) for day in (D20, D21, D22)]
+    assert all("Malformed record" in entry[3] for entry in log) and len(loads) == 1
+    landed = readers.land_requests(job.spark, str(tmp_path / "log"), "json", str(tmp_path / "landed"), max_rejects=1)
+    job.requests = landed.requests
+    assert [entry[:3] for entry in entries(job.run_range("2025-03-20", "2025-03-22"))] == [
+        (day, True, 2) for day in (D20, D21, D22)
+    ]
+
+
 def test_what_cannot_be_analysed_is_tried_once(job, monkeypatch):
     loads = []
     load = ImpressionJob._load
@@ -214,6 +234,15 @@ def test_command_line(spark, tmp_path, capsys):
     assert [line.get("row_count") for line in lines] == [2, None, 2, 2, 0, None]
     assert lines[-1]["total_row_count"] == 4
     assert main(["reprocess", *where, "--date", "2025/03/20"], spark) == 1
+    log.select("timestamp", "httpRequest").write.json(str(tmp_path / "text"))
+    (tmp_path / "text" / "part-x.json").write_text("broken\n")
+    text = f"--requests {tmp_path / 'text'} --requests-format json --signage {sheet} --signage-format csv --table default.{table}".split()
+    capsys.readouterr()
+    assert main(["run", *text, "--date", "2025-03-20"], spark) == 1
+    assert main(["run", *text, "--date", "2025-03-20", "--max-rejects", "0"], spark) == 1
+    assert "1 of 5 records are broken" in capsys.readouterr().err
+    assert main(["run", *text, "--date", "2025-03-20", "--max-rejects", "1"], spark) == 0
+    assert '"rejected":1,"example":"broken"' in capsys.readouterr().err
     assert main(["run", *where, "--environment", "test"], spark) == 1
     assert "Unknown environment: test" in capsys.readouterr().err
     spark.sql(f"DROP TABLE {table}")

@@ -113,6 +113,87 @@ def test_csv_log(spark, tmp_path):
     assert log.selectExpr("unix_seconds(timestamp)", "httpRequest.requestUrl").collect() == [(1742605200, "http://x/t?a=1")]
 
 
+JSON_LOG = """\
+{"timestamp": "2025-03-22 03:00:00", "httpRequest": {"requestUrl": "u1", "status": 200}, "day": "2025-03-22"}
+{"timestamp": "2025-03-22T12:00:00.5+09:00", "httpRequest": {"requestUrl": "u2"}}
+
+{"timestamp": "2025-03-22 12:00:00 Asia/Tokyo", "httpRequest": {"requestUrl": "u3"}, "day": null}
+{"timestamp": "2025-03-22", "httpRequest": {"requestUrl": "u4"}}
+{"httpRequest": {"requestUrl": "u5"}}
+{"timestamp": "2025-03-2
+GET /tracking
+{"timestamp": "12:00:00", "httpRequest": {"requestUrl": "v1"}}
+{"timestamp": 1742612400, "httpRequest": {"requestUrl": "v2"}}
+{"timestamp": "2025-03-22T03:00:00Z", "httpRequest": "v3"}
+{"timestamp": "2025-03-22T03:00:00Z", "httpRequest": {"requestUrl": "v4"}, "day": "today"}
+[]
+"""
+SECONDS = {"u1": 1742612400, "u2": 1742612400, "u3": 1742612400, "u4": 1742601600, "u5": None}
+
+
+@pytest.fixture(params=["UTC", "Asia/Tokyo", "America/St_Johns"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def seconds_of(requests):
+    return {row[0]: row[1] for row in requests.selectExpr("httpRequest.requestUrl", "unix_seconds(timestamp)").collect()}
+
+
+def test_broken_json_records_are_put_aside(spark, tmp_path, zone):
+    (tmp_path / "log.json").write_text(JSON_LOG)
+    source = str(tmp_path / "log.json")
+    landed = readers.land_requests(spark, source, "json", str(tmp_path / "landed"), "day", max_rejects=7)
+    assert (landed.accepted, landed.rejected) == (5, 7)
+    assert seconds_of(landed.requests) == SECONDS
+    assert {r.httpRequest.requestUrl: r.day for r in landed.requests.collect()}["u1"] == dt.date(2025, 3, 22)
+    found = {row.record: row.reason for row in landed.rejects.collect()}
+    lines = JSON_LOG.splitlines()
+    reasons = [readers.NO_RECORD] * 2 + [readers.NO_TIME] * 2 + [readers.NO_RECORD, readers.NO_DAY, readers.NO_RECORD]
+    assert found == dict(zip(lines[6:], reasons))
+    assert all(row.file.endswith("log.json") for row in landed.rejects.collect())
+    counts = {row.reason: row.rejected for row in readers.reject_counts(landed.rejects).collect()}
+    assert counts == {readers.NO_RECORD: 4, readers.NO_TIME: 2, readers.NO_DAY: 1}
+    with pytest.raises(readers.RejectedRecords, match="7 of 12 records"):
+        readers.land_requests(spark, source, "json", str(tmp_path / "again"), "day", max_rejects=6)
+    with pytest.raises(Exception, match="Malformed record"):
+        readers.read_requests(spark, source, "json").collect()
+
+
+def test_landed_logs_without_broken_records_or_any(spark, tmp_path):
+    (tmp_path / "good.json").write_text(JSON_LOG.splitlines()[0])
+    (tmp_path / "none.json").write_text("\n\n")
+    good = readers.land_requests(spark, str(tmp_path / "good.json"), "json", str(tmp_path / "a"))
+    assert (good.accepted, good.rejected, good.rejects.count()) == (1, 0, 0)
+    none = readers.land_requests(spark, str(tmp_path / "none.json"), "json", str(tmp_path / "b"))
+    assert (none.accepted, none.rejected, none.requests.count()) == (0, 0, 0)
+    with pytest.raises(ValueError, match="text format"):
+        readers.land_requests(spark, "x", "parquet", str(tmp_path / "c"))
+
+
+def test_broken_csv_records_are_put_aside(spark, tmp_path, zone):
+    lines = ["200,http://x,2025-03-22 03:00:00", "200,http://x", "1,2,3,4", "200,http://y,noon", '200,"a,b",2025-03-22T12:00:00+09:00']
+    (tmp_path / "log.csv").write_text("\n".join(["status,requestUrl,timestamp", *lines]))
+    landed = readers.land_requests(spark, str(tmp_path / "log.csv"), "csv", str(tmp_path / "landed"), max_rejects=3)
+    assert seconds_of(landed.requests) == {"http://x": 1742612400, "a,b": 1742612400}
+    assert {row.record: row.reason for row in landed.rejects.collect()} == dict(
+        zip(lines[1:4], [readers.NO_RECORD, readers.NO_RECORD, readers.NO_TIME])
+    )
+    with pytest.raises(Exception, match="Malformed record"):
+        readers.read_requests(spark, str(tmp_path / "log.csv"), "csv").select("timestamp").collect()
+
+
+def test_text_logs_do_not_depend_on_the_session_zone(spark, zone):
+    """Registered queries over text logs give in every zone what they give in UTC."""
+    for name in ("text_log_times", "stored_log_accepted"):
+        found = sorted(map(str, queries()[name](spark, DATA).collect()))
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert found == sorted(map(str, queries()[name](spark, DATA).collect()))
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_sheet_with_further_columns_in_another_order(spark, tmp_path):
     sheet = tmp_path / "sheet.csv"
     sheet.write_text("memo,closing_time,fully_device_id,opening_time\nm,20:00,d1,09:30\n,,d2,\n")
