@@ -13,14 +13,20 @@ def count_by_minute(plays: DataFrame) -> DataFrame:
 
 
 def count_groups(joined: DataFrame, devices: DeviceHours) -> DataFrame:
-    """``imp`` (plays in opening hours) and ``cnt`` (all plays) per group, in one pass."""
+    """``imp`` (plays in opening hours) and ``cnt`` (all plays) per group, in one pass.
+
+    Where the join has dealt the plays by device and salt, the groups are counted as they lie.
+    """
+    dealt = ["salt"] if "salt" in joined.columns else []
     times = F.col("plays") if "plays" in joined.columns else F.lit(1)
     weighted = joined.select(
         *KEYS,
+        *dealt,
         (open_weight(devices) * times).cast("bigint").alias("imp"),
         (listing_weight() * times).cast("bigint").alias("cnt"),
     )
-    return weighted.groupBy(*KEYS).agg(F.sum("imp").alias("imp"), F.sum("cnt").alias("cnt"))
+    sums = weighted.groupBy(*KEYS, *dealt).agg(F.sum("imp").alias("imp"), F.sum("cnt").alias("cnt"))
+    return sums.drop(*dealt)
 
 
 def with_impressions(counts: DataFrame) -> DataFrame:

@@ -8,16 +8,19 @@ instead of multiplied and a heavily repeated device costs no more than any other
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from hourboard.functions import hours
+from hourboard.schemas import KEYS
+from hourboard.scratch import scratch_path
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-# In a shuffled join the device table is repeated up to MAX_SALTS times, but not beyond this size.
-MAX_SALTS = 32
-REPEATED_LIMIT_BYTES = 16 * 1024 * 1024 * 1024
+# Devices a sketch of the plays tracks, and how many busy ones it may name. It misses none that has more
+# than one row in three quarters of those it tracks.
+TRACKED_DEVICES = 4096
+BUSY_DEVICES = 1024
 
 # In-memory cost of a hashed row beyond its text, and of one per-minute array.
 ROW_BYTES = 64
@@ -128,26 +131,46 @@ def join_hours(plays: DataFrame, devices: DeviceHours, broadcast: bool) -> DataF
     """Left join of plays to their device's hours; never changes the number of rows.
 
     A broadcast leaves the plays where they are. Otherwise both sides are shuffled by device and
-    salt. Plays without a device match nothing and take any salt, so they spread evenly. A busy
-    device spreads over as many tasks as there are salts, and the device table is repeated once
-    per salt. The salt is also what keeps the counting that follows from reusing the shuffle by
-    device, so adaptive execution remains free to cut an oversized partition further.
+    salt. The plays are stored on the way, and the same pass tells which devices have more of them than
+    a task should get; these alone are dealt over several salts, and their rows of the device table repeated.
+    Salts are drawn by the group keys, where plays have them, so that counting by the keys and the ``salt`` needs no
+    further shuffle. Plays without a device match nothing and take any salt.
     """
     on = F.col("device_id") == F.col("device")
     if broadcast:
         return plays.join(F.broadcast(devices.frame), on, "left")
-    salts = salt_count(devices.size_bytes)
-    drawn = F.xxhash64(*plays.columns)
-    salt = F.when(F.col("device_id").isNull(), drawn).otherwise(F.pmod(drawn, F.lit(salts)))
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
-    repeated = devices.frame.withColumn("device_salt", F.explode(all_salts))
-    return plays.withColumn("salt", salt).join(
-        repeated.hint("merge"), on & (F.col("salt") == F.col("device_salt")), "left"
-    )
+    plays, busy = find_busy(plays)
+    drawn = F.xxhash64(*(KEYS if set(KEYS) <= set(plays.columns) else plays.columns))
+    one = F.lit(1).cast("bigint")
+    table = devices.frame
+    if busy:
+        salts = plays.sparkSession.createDataFrame(busy, "busy string, salts bigint")
+        plays = plays.join(F.broadcast(salts), F.col("device_id") == F.col("busy"), "left").drop("busy")
+        table = table.join(F.broadcast(salts), F.col("device") == F.col("busy"), "left").drop("busy")
+    else:
+        plays, table = plays.withColumn("salts", one), table.withColumn("salts", one)
+    own = F.pmod(drawn, F.coalesce("salts", one))
+    salted = plays.withColumn("salt", F.when(F.col("device_id").isNull(), drawn).otherwise(own)).drop("salts")
+    last = F.coalesce("salts", one) - 1
+    repeated = table.withColumn("device_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("salts")
+    return salted.join(repeated.hint("merge"), on & (F.col("salt") == F.col("device_salt")), "left")
 
 
-def salt_count(size_bytes: int) -> int:
-    return max(1, min(MAX_SALTS, REPEATED_LIMIT_BYTES // max(1, size_bytes)))
+def find_busy(plays: DataFrame) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """The plays, stored, and each device that has more of them than a task's share, with the tasks it takes.
+
+    Found by a sketch of frequent items that the writing of the plays fills, of bounded size whatever there is.
+    Only how the plays are dealt depends on it, not what comes out.
+    """
+    spark = plays.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen, place = Observation(), scratch_path(spark, "plays")
+    top = F.expr(f"approx_top_k(device_id, {BUSY_DEVICES}, {TRACKED_DEVICES})")
+    plays.observe(seen, F.count(F.lit(1)).alias("rows"), top.alias("top")).write.parquet(place)
+    share = max(1, seen.get.get("rows", 0) // tasks)
+    found = [(row["item"], row["count"]) for row in seen.get.get("top") or [] if row["item"] is not None]
+    busy = [(device, min(tasks, -(-count // share))) for device, count in found if count > share]
+    return spark.read.schema(plays.schema).parquet(place), busy
 
 
 def listing_weight() -> Column:

@@ -229,16 +229,28 @@ def test_repeated_listings_do_not_multiply_rows(spark):
         assert tuple(total.first()) == (1000, 1000 * 30_000, 1000 * open_listings)
 
 
-def test_salts_shrink_as_the_device_table_grows():
-    assert [signage_ops.salt_count(2**n) for n in (0, 20, 29, 30, 33, 34, 40)] == [
-        32,
-        32,
-        32,
-        16,
-        2,
-        1,
-        1,
-    ]
+def test_only_busy_devices_are_dealt_over_several_salts(spark):
+    """Half of the plays are of one device, an eighth of another; the table is repeated for these alone."""
+    device = F.expr("CASE WHEN id % 2 = 0 THEN 'd1' WHEN id % 8 = 1 THEN 'd2' ELSE 'd' || (id % 1999) END")
+    plays = spark.range(40_000).select(device.alias("device_id"), F.lit(600).alias("minute"), "id")
+    stored, busy = signage_ops.find_busy(plays)
+    assert stored.count() == 40_000
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [name for name, _ in busy][:1] == ["d1"] and {name for name, _ in busy} <= {"d1", "d2"}
+    assert dict(busy)["d1"] in (tasks // 2, tasks // 2 + 1)
+    frame = spark.range(2000).select(
+        F.concat(F.lit("d"), "id").alias("device"),
+        F.lit(1).cast("bigint").alias("listings"),
+        F.lit(0).alias("opens"),
+        F.lit(1440).alias("closes"),
+        F.lit(None).cast("array<bigint>").alias("open_by_minute"),
+    )
+    joined = signage_ops.join_hours(plays, signage_ops.DeviceHours(frame, 1, 540, 1260), broadcast=False)
+    assert joined.count() == joined.select("id").distinct().count() == 40_000
+    assert joined.where("listings is null").count() == 0
+    salts = {row["device_id"]: row["n"] for row in joined.groupBy("device_id").agg(F.count_distinct("salt").alias("n")).collect()}
+    assert salts["d1"] == dict(busy)["d1"]
+    assert all(n == 1 for name, n in salts.items() if name not in dict(busy))
 
 
 @pytest.mark.parametrize("size", [2**20, 2**40])
