@@ -202,6 +202,12 @@ ORACLE: dict[str, str] = {
     "empty_day_clear": TARGET + f" AND {DT} <> DATE '2024-01-10'",
     "append_rows": TARGET,
     "replace_days_in_parallel": TARGET,
+    "versioned_replace": TARGET,
+    "versioned_empty_day": TARGET + f" AND {DT} <> DATE '2024-01-10'",
+    "versioned_parallel": TARGET,
+    "versioned_appends": TARGET,
+    "versioned_counts": _groups(BUSY, ONCE)
+    + f"SELECT {DT} AS dt, count(*) AS row_count FROM grp WHERE imp > 0 GROUP BY 1",
     "clear_then_append": TARGET
     + f" AND ({DT} <> DATE '2024-01-10' OR hour(timestamp_hourly + INTERVAL 9 HOUR) < 12)",
     "truncate_and_reload": TARGET + f" AND {DT} <= DATE '2024-01-10'",

@@ -17,6 +17,7 @@ from hourboard.plans.impressions import hourly_impressions, with_business_date
 from hourboard.scratch import scratch_path
 from hourboard.schemas import TARGET_COLUMNS
 from hourboard.sinks import target
+from hourboard.sinks.versions import VersionedStore
 from hourboard.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,6 +600,68 @@ def run_summary_failures(spark, sf_dir):
     return _flat(run_summary(log))
 
 
+# --- versions of the target ---
+
+
+def _versioned(spark, sf_dir) -> ImpressionJob:
+    job = _job(spark, sf_dir)
+    job.store = VersionedStore(spark, job.location, job.requests.schema["timestamp"].dataType)
+    return job
+
+
+@query("versioned_replace")
+def versioned_replace(spark, sf_dir):
+    """As replace_day_twice, each load a commit."""
+    job = _versioned(spark, sf_dir)
+    job.run_range(FIRST, LAST)
+    job.run(ONE_DAY)
+    job.reprocess(ONE_DAY.isoformat())
+    return job.store.read()
+
+
+@query("versioned_empty_day")
+def versioned_empty_day(spark, sf_dir):
+    """As empty_day_clear: the days that are filled and the one that is emptied change at once."""
+    job = _versioned(spark, sf_dir)
+    job.run_range(FIRST, LAST)
+    gone = times.business_date(_local("timestamp")) == F.lit(ONE_DAY)
+    job.requests = job.requests.where(~gone)
+    job.run_range(ONE_DAY - dt.timedelta(days=1), ONE_DAY + dt.timedelta(days=1))
+    return job.store.read()
+
+
+@query("versioned_parallel")
+def versioned_parallel(spark, sf_dir):
+    """All days of the month from several threads, the first ten of them by three overlapping loads."""
+    job = _versioned(spark, sf_dir)
+    spans = [(FIRST, ONE_DAY)] * 3 + [(day, day) for day in target.days_between(ONE_DAY, LAST)]
+    with ThreadPoolExecutor(6) as pool:
+        logs = list(pool.map(lambda span: job.run_range(*span), spans))
+    if not all(row["success"] for log in logs for row in log.collect()):
+        raise RuntimeError("A day failed")
+    return job.store.read()
+
+
+@query("versioned_appends")
+def versioned_appends(spark, sf_dir):
+    """The month appended in two batches, each of them sent twice."""
+    job = _versioned(spark, sf_dir)
+    for first, last in ((FIRST, ONE_DAY), (ONE_DAY + dt.timedelta(days=1), LAST)) * 2:
+        rows = with_business_date(hourly_impressions(job.requests, job.signage, first, last))
+        job.store.append(rows, batch=f"{first}..{last}")
+    return job.store.read()
+
+
+@query("versioned_counts")
+def versioned_counts(spark, sf_dir):
+    """Rows per day as the commits of a load and an append of other requests say."""
+    job = _versioned(spark, sf_dir)
+    job.run_range(FIRST, ONE_DAY)
+    later = hourly_impressions(job.requests, job.signage, ONE_DAY + dt.timedelta(days=1), LAST)
+    job.store.append(with_business_date(later), batch="later")
+    return job.store.rows_per_day()
+
+
 # --- sources ---
 
 

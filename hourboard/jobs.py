@@ -13,6 +13,7 @@ from hourboard.functions import times
 from hourboard.plans.impressions import hourly_impressions, with_business_date
 from hourboard.schemas import RUN_LOG_SCHEMA
 from hourboard.sinks import target
+from hourboard.sinks.versions import VersionedStore
 from hourboard.sources import readers
 
 
@@ -89,7 +90,7 @@ def reprocess_date(value: str | None) -> dt.date:
 
 @dataclass
 class ImpressionJob:
-    """Loads days of ``requests`` and ``signage`` into the table ``table``.
+    """Loads days of ``requests`` and ``signage`` into the table ``table``, or into ``store`` if there is one.
 
     Each method returns the run log of its days: ``process_date``, ``success``, ``row_count``,
     ``error``. A day that fails is logged, not raised. ``options`` go to ``hourly_impressions``.
@@ -101,6 +102,7 @@ class ImpressionJob:
     table: str
     location: str | None = None
     options: dict[str, Any] = field(default_factory=dict)
+    store: VersionedStore | None = None
     #: First day, last day and error of each range that failed as a whole.
     range_errors: list[tuple[dt.date, dt.date, str]] = field(default_factory=list)
 
@@ -138,9 +140,12 @@ class ImpressionJob:
 
     def _load(self, first: dt.date, last: dt.date) -> dict[dt.date, int]:
         kind = self.requests.schema["timestamp"].dataType
-        target.ensure_table(self.spark, self.table, kind, self.location)
-        rows = hourly_impressions(self.requests, self.signage, first, last, **self.options)
-        return target.replace_days(self.spark, self.table, with_business_date(rows), first, last)
+        if not self.store:
+            target.ensure_table(self.spark, self.table, kind, self.location)
+        rows = with_business_date(hourly_impressions(self.requests, self.signage, first, last, **self.options))
+        if self.store:
+            return self.store.replace_days(rows, first, last)
+        return target.replace_days(self.spark, self.table, rows, first, last)
 
     def _log(self, entries: list[tuple]) -> DataFrame:
         return self.spark.createDataFrame(entries, RUN_LOG_SCHEMA)

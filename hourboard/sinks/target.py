@@ -8,8 +8,8 @@ day at a time are not told apart: an overwrite is no lock.
 """
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
-from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,8 +21,6 @@ from hourboard.schemas import CLUSTER_KEYS, KEYS, TARGET_COLUMNS, target_schema
 
 #: Days a range can have: what one bitmap holds.
 MAX_DAYS = 32_768
-#: Appends stage in the table's own folder, so those of one process take turns.
-_appending = Lock()
 
 
 def ensure_table(
@@ -77,13 +75,10 @@ def replace_days(
         return {}
     if len(days) > MAX_DAYS:
         raise ValueError(f"A load takes at most {MAX_DAYS} days, not {len(days)}")
-    day = F.col("dt")
-    refused = F.raise_error(F.concat(F.lit("Row of a day outside the load: "), F.coalesce(day.cast("string"), F.lit("NULL"))))
-    inside = F.when(day.between(first, last), day).otherwise(refused.cast("date")).alias("dt")
-    rows = rows.select(*[inside if name == "dt" else name for name in TARGET_COLUMNS])
+    rows = only_days(rows, first, last)
     place = table_location(spark, table)
     seen = Observation()
-    bit = F.bitmap_bit_position(F.datediff(day, F.lit(first)) + 1)
+    bit = F.bitmap_bit_position(F.datediff("dt", F.lit(first)) + 1)
     written = arrange(rows).observe(seen, F.bitmap_construct_agg(bit).alias("days"))
     written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(place)
     bits = seen.get.get("days") or b""
@@ -96,6 +91,14 @@ def replace_days(
     return count_days(spark, table, first, last)
 
 
+def only_days(rows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """``rows`` in table order; one of a day outside ``first``..``last`` fails whatever uses them."""
+    day = F.col("dt")
+    refused = F.raise_error(F.concat(F.lit("Row of a day outside the load: "), F.coalesce(day.cast("string"), F.lit("NULL"))))
+    inside = F.when(day.between(first, last), day).otherwise(refused.cast("date")).alias("dt")
+    return rows.select(*[inside if name == "dt" else name for name in TARGET_COLUMNS])
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     """The folder of the table."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}")
@@ -125,12 +128,35 @@ def _partition(day: dt.date) -> str:
 
 
 def append_rows(spark: SparkSession, table: str, rows: DataFrame) -> int:
-    """Add rows to the target, whatever its days hold already; how many they were."""
-    seen = Observation()
-    rows = arrange(rows.select(*TARGET_COLUMNS)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    with _appending:
-        rows.write.mode("append").insertInto(table)
-    return seen.get.get("rows", 0)
+    """Add rows to the target, whatever its days hold already; how many they were.
+
+    They are staged in a folder of their own and their files then moved to their days, so appends of several processes
+    do not touch each other's. A repeated batch is added again; :class:`~hourboard.sinks.versions.VersionedStore`
+    knows batches.
+    """
+    place = table_location(spark, table)
+    staged = f"{place.rstrip('/')}/_append-{uuid.uuid4().hex}"
+    arrange(rows.select(*TARGET_COLUMNS)).write.partitionBy("dt").parquet(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [status.getPath() for status in files.listStatus(path(staged)) if status.isDirectory()]
+    written = spark.read.schema(spark.table(table).schema).parquet(staged)
+    count = written.count() if folders else 0
+    days = []
+    for folder in folders:
+        day = path(place, folder.getName())
+        files.mkdirs(day)
+        for status in files.listStatus(folder):
+            if not files.rename(status.getPath(), path(day, status.getPath().getName())):
+                raise OSError(f"Cannot move {status.getPath()} to {day}")
+        days.append(folder.getName().removeprefix("dt="))
+    files.delete(path(staged), True)
+    known = [day for day in days if day != "__HIVE_DEFAULT_PARTITION__"]
+    if known:
+        specs = " ".join(_partition(dt.date.fromisoformat(day)) for day in sorted(known))
+        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(_quoted(table))
+    return count
 
 
 def append_records(spark: SparkSession, table: str, records: list[Mapping[str, Any]]) -> int:

@@ -79,7 +79,7 @@ def test_shuffled_plan_counts_first_and_salts(spark):
 
 def test_no_query_runs_python(spark):
     slow = ("Python", "MapInPandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin")
-    loads = ("replace", "append", "empty", "day_counts", "run_log", "run_summary")
+    loads = ("replace", "append", "empty", "day_counts", "run_log", "run_summary", "versioned")
     for name, query in REGISTRY.items():
         if name.startswith(loads):
             continue
