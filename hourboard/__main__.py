@@ -3,6 +3,7 @@
     run [--date D]                     load one day, yesterday in Tokyo when left out
     run-range --start-date D [--end-date D]
     reprocess --date YYYY-MM-DD
+    run-late --index PATH              load again the days that new files of the log bring plays for
     import-signage --sheet PATH --table T    copy a CSV sheet to a signage table
 
 With ``--max-rejects N`` a text log is landed as Parquet first, and up to N broken records in it are put aside;
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from hourboard.jobs import ArgumentError, ImpressionJob, run_summary
 from hourboard.scratch import scratch_path
 from hourboard.sinks.environments import get_environment
+from hourboard.sinks.versions import VersionedStore
+from hourboard.sources.arrivals import ArrivalIndex
 from hourboard.sources.readers import (
     import_signage,
     land_requests,
@@ -41,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--signage-format", choices=("table", "csv"), default="table")
     common.add_argument("--environment", help="development, staging or production")
     common.add_argument("--database", help="database of the target, instead of the environment's")
+    common.add_argument("--store", help="folder of a target kept in versions, instead of a table")
     common.add_argument("--catalog", help="catalog of the target table")
     common.add_argument("--table", help="target table, instead of the environment's")
 
@@ -51,6 +55,8 @@ def parser() -> argparse.ArgumentParser:
     span = commands.add_parser("run-range", parents=[common])
     span.add_argument("--start-date")
     span.add_argument("--end-date")
+    late = commands.add_parser("run-late", parents=[common])
+    late.add_argument("--index", required=True, help="folder of the index of files that have arrived")
     sheet = commands.add_parser("import-signage")
     sheet.add_argument("--sheet", required=True, help="path of a CSV sheet")
     sheet.add_argument("--table", required=True, help="signage table to replace")
@@ -77,15 +83,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         environment = get_environment(args.environment, args.catalog, args.database)
         is_sheet = args.signage_format == "csv"
+        requests = _requests(spark, args)
         job = ImpressionJob(
             spark,
-            _requests(spark, args),
+            requests,
             (read_signage_csv if is_sheet else read_signage)(spark, args.signage),
             environment.qualify(args.table) if args.table else environment.target,
             options={"log_date": args.log_date} if args.log_date else {},
+            store=VersionedStore(spark, args.store, requests.schema["timestamp"].dataType) if args.store else None,
         )
         if args.command == "run-range":
             log = job.run_range(args.start_date, args.end_date)
+        elif args.command == "run-late":
+            index = ArrivalIndex(spark, args.index)
+            index.update(args.requests, args.requests_format)
+            log = job.run_late(index)
         else:
             log = (job.run if args.command == "run" else job.reprocess)(args.date)
     except (ArgumentError, ValueError) as error:

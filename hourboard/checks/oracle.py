@@ -202,6 +202,10 @@ ORACLE: dict[str, str] = {
     "empty_day_clear": TARGET + f" AND {DT} <> DATE '2024-01-10'",
     "append_rows": TARGET,
     "replace_days_in_parallel": TARGET,
+    "late_days": f"""WITH {BUSY} SELECT CAST(jst AS DATE) AS dt, count(*) AS plays FROM req
+        WHERE {IS_TRACKING} AND day(jst) % 4 = 1 AND second(ts) % 3 = 0
+          AND jst <= date_trunc('day', jst) + INTERVAL '23:59:59' HOUR TO SECOND GROUP BY 1""",
+    "late_reload": TARGET,
     "versioned_replace": TARGET,
     "versioned_empty_day": TARGET + f" AND {DT} <> DATE '2024-01-10'",
     "versioned_parallel": TARGET,

@@ -19,6 +19,7 @@ from hourboard.schemas import TARGET_COLUMNS
 from hourboard.sinks import target
 from hourboard.sinks.versions import VersionedStore
 from hourboard.sources import readers
+from hourboard.sources.arrivals import ArrivalIndex
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -662,6 +663,45 @@ def versioned_counts(spark, sf_dir):
     return job.store.rows_per_day()
 
 
+# --- late requests ---
+
+#: Requests of some days that reach the log after the others.
+LATE = "dayofmonth(timestamp + INTERVAL 9 HOURS) % 4 = 1 AND second(timestamp) % 3 = 0"
+
+
+def _in_two_arrivals(spark, sf_dir) -> tuple[ArrivalIndex, str, Callable[[], None]]:
+    """An index that knows a log without its late requests, the log's folder, and what adds these to it."""
+    source = scratch_path(spark, "log")
+    log = testbed.request_log(spark, sf_dir)
+    log.where(f"NOT ({LATE})").write.parquet(source)
+    index = ArrivalIndex(spark, scratch_path(spark, "arrivals"))
+    index.update(source, "parquet")
+    return index, source, lambda: log.where(LATE).write.mode("append").parquet(source)
+
+
+@query("late_days")
+def late_days(spark, sf_dir):
+    """The days that late requests touch, and their plays."""
+    index, source, arrive = _in_two_arrivals(spark, sf_dir)
+    arrive()
+    return index.days({arrival.name for arrival in index.update(source, "parquet")})
+
+
+@query("late_reload")
+def late_reload(spark, sf_dir):
+    """A month loaded before its late requests arrive, and then only the days that these touch."""
+    index, source, arrive = _in_two_arrivals(spark, sf_dir)
+    job = _versioned(spark, sf_dir)
+    job.requests = readers.read_requests(spark, source, "parquet")
+    job.run_range(FIRST, LAST)
+    index.settle(index.pending())
+    arrive()
+    index.update(source, "parquet")
+    job.requests = readers.read_requests(spark, source, "parquet")
+    job.run_late(index)
+    return job.store.read(FIRST, LAST)
+
+
 # --- sources ---
 
 

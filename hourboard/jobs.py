@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -15,6 +16,7 @@ from hourboard.schemas import RUN_LOG_SCHEMA
 from hourboard.sinks import target
 from hourboard.sinks.versions import VersionedStore
 from hourboard.sources import readers
+from hourboard.sources.arrivals import ArrivalIndex
 
 
 class ArgumentError(ValueError):
@@ -125,6 +127,22 @@ class ImpressionJob:
         """
         return self._log(self._load_span(*run_dates(start, end)))
 
+    def run_days(self, days: Iterable[dt.date]) -> DataFrame:
+        """Some days, each run of consecutive ones in one pass."""
+        spans: list[tuple[dt.date, dt.date]] = []
+        for day in sorted(set(days)):
+            follows = spans and spans[-1][1] + dt.timedelta(days=1) == day
+            spans[-1:] = [(spans[-1][0], day)] if follows else [*spans[-1:], (day, day)]
+        return self._log([entry for span in spans for entry in self._load_span(*span)])
+
+    def run_late(self, index: ArrivalIndex) -> DataFrame:
+        """The days of the index' pending arrivals. What is loaded without failure settles them, else all stay pending."""
+        names = index.pending()
+        entries = self.run_days(row["dt"] for row in index.days(names).collect())  # one row a day
+        if entries.where("not success").isEmpty():
+            index.settle(names)
+        return entries
+
     def _load_span(self, first: dt.date, last: dt.date) -> list[tuple]:
         try:
             return [(day, True, rows, None) for day, rows in self._load(first, last).items()]

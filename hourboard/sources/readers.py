@@ -24,7 +24,7 @@ NO_RECORD, NO_TIME, NO_DAY = "not a record", "timestamp that is none", "log date
 BROKEN = "_broken_record"
 
 
-def request_records(spark: SparkSession, source: str, fmt: str, log_date: str | None = None) -> DataFrame:
+def request_records(spark: SparkSession, source: str | list[str], fmt: str, log_date: str | None = None) -> DataFrame:
     """Every record of a text log, lazily: ``timestamp, httpRequest, [log_date,] reason, record, file``.
 
     ``reason`` is NULL for a good record, which has no ``record``. Times without an offset or zone are UTC,
@@ -72,9 +72,9 @@ def request_records(spark: SparkSession, source: str, fmt: str, log_date: str |
 
 
 def read_requests(
-    spark: SparkSession, source: str, fmt: str | None = None, log_date: str | None = None
+    spark: SparkSession, source: str | list[str], fmt: str | None = None, log_date: str | None = None
 ) -> DataFrame:
-    """The request log: a catalog table, or files at a path when ``fmt`` is given.
+    """The request log: a catalog table, or files at a path (or several) when ``fmt`` is given.
 
     Only the fields the query uses (and the partition column ``log_date``) are kept; the rest of
     ``httpRequest`` is never read. A broken record of a text log fails the reading, as :func:`request_records`
