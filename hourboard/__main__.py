@@ -18,6 +18,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hourboard.functions import times
 from hourboard.jobs import ArgumentError, ImpressionJob, run_summary
 from hourboard.scratch import scratch_path
 from hourboard.sinks.environments import get_environment
@@ -44,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--signage-format", choices=("table", "csv"), default="table")
     common.add_argument("--environment", help="development, staging or production")
     common.add_argument("--database", help="database of the target, instead of the environment's")
+    common.add_argument("--zone", default=times.TOKYO, help="time zone of days and opening hours")
     common.add_argument("--store", help="folder of a target kept in versions, instead of a table")
     common.add_argument("--catalog", help="catalog of the target table")
     common.add_argument("--table", help="target table, instead of the environment's")
@@ -89,13 +91,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             requests,
             (read_signage_csv if is_sheet else read_signage)(spark, args.signage),
             environment.qualify(args.table) if args.table else environment.target,
-            options={"log_date": args.log_date} if args.log_date else {},
+            options={"zone": args.zone} | ({"log_date": args.log_date} if args.log_date else {}),
             store=VersionedStore(spark, args.store, requests.schema["timestamp"].dataType) if args.store else None,
         )
         if args.command == "run-range":
             log = job.run_range(args.start_date, args.end_date)
         elif args.command == "run-late":
-            index = ArrivalIndex(spark, args.index)
+            index = ArrivalIndex(spark, args.index, args.zone)
             index.update(args.requests, args.requests_format)
             log = job.run_late(index)
         else:

@@ -65,6 +65,7 @@ def _groups(
     end: int = 23,
     opening: str = "09:00",
     closing: str = "21:00",
+    hour: str = "date_trunc('hour', ts)",
 ) -> str:
     """CTEs up to ``grp``: every group with both measures."""
     numbers = ", ".join(
@@ -72,7 +73,7 @@ def _groups(
     )
     return f"""WITH {log}, {signage},
       plays AS (
-        SELECT date_trunc('hour', ts) AS timestamp_hourly, {numbers},
+        SELECT {hour} AS timestamp_hourly, {numbers},
           {_param("device_id")} AS device_id, strftime(jst, '%H:%M') AS hm
         FROM req WHERE {IS_TRACKING} AND {_within("jst", first, last, start, end)}),
       grp AS (
@@ -84,6 +85,17 @@ def _groups(
     """
 
 
+def _zoned(days: int, change: str, before: str, after: str) -> str:
+    """The busy log moved by some days, local time by the offsets before and after a change."""
+    log = _log(testbed.BUSY_URL).replace("FROM events", f"FROM (SELECT * REPLACE (ts + INTERVAL {days} DAY AS ts) FROM events)")
+    local = f"ts + CASE WHEN ts < TIMESTAMP '{change}' THEN INTERVAL '{before}' ELSE INTERVAL '{after}' END"
+    return log.replace("ts + INTERVAL 9 HOUR", local)
+
+
+NEW_YORK = _zoned(60, "2024-03-10 07:00:00", "-5 hours", "-4 hours")
+ADELAIDE = _zoned(80, "2024-04-06 16:30:00", "10 hours 30 minutes", "9 hours 30 minutes")
+
+
 def _impressions(*args, **kwargs) -> str:
     return _groups(*args, **kwargs) + f"SELECT {KEYS}, imp, cnt FROM grp WHERE imp > 0"
 
@@ -107,6 +119,13 @@ ORACLE: dict[str, str] = {
         BUSY, ONCE, start=8, end=19, opening="10:00", closing="18:30"
     ),
     "hourly_impressions_instants": _impressions(BUSY, ONCE),
+    "hourly_impressions_new_york": _impressions(NEW_YORK, ONCE, "2024-03-05", "2024-03-20"),
+    "hourly_impressions_adelaide": _groups(
+        ADELAIDE, ONCE, "2024-04-01", "2024-04-15", hour="ts - (jst - date_trunc('hour', jst))"
+    )
+    + f"""SELECT {KEYS}, imp, cnt, CAST(timestamp_hourly + CASE WHEN timestamp_hourly < TIMESTAMP '2024-04-06 16:30:00'
+        THEN INTERVAL '10 hours 30 minutes' ELSE INTERVAL '9 hours 30 minutes' END AS DATE) AS dt
+        FROM grp WHERE imp > 0""",
     "stored_log_impressions": _impressions(BUSY, ONCE),
     "stored_log_accepted": _impressions(ACCEPTED, ONCE),
     "stored_log_rejects": f"""SELECT CASE WHEN event_id%97=5 OR event_id%89=7 THEN 'not a record'
@@ -204,7 +223,7 @@ ORACLE: dict[str, str] = {
     "replace_days_in_parallel": TARGET,
     "late_days": f"""WITH {BUSY} SELECT CAST(jst AS DATE) AS dt, count(*) AS plays FROM req
         WHERE {IS_TRACKING} AND day(jst) % 4 = 1 AND second(ts) % 3 = 0
-          AND jst <= date_trunc('day', jst) + INTERVAL '23:59:59' HOUR TO SECOND GROUP BY 1""",
+          AND CAST(jst AS TIME) <= TIME '23:59:59' GROUP BY 1""",
     "late_reload": TARGET,
     "versioned_replace": TARGET,
     "versioned_empty_day": TARGET + f" AND {DT} <> DATE '2024-01-10'",

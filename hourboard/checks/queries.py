@@ -94,6 +94,26 @@ def hourly_impressions_instants(spark, sf_dir):
     return rows.withColumn("timestamp_hourly", times.utc_wall(F.col("timestamp_hourly"), ntz=False))
 
 
+def _in_zone(spark, sf_dir, days: int, zone: str, first: dt.date, last: dt.date):
+    """Impressions of a log moved by some days, by the days and hours of a zone."""
+    log = testbed.request_log(spark, sf_dir)
+    log = log.withColumn("timestamp", F.col("timestamp") + F.expr(f"INTERVAL {days} DAYS"))
+    return hourly_impressions(log, testbed.signage_table(spark, sf_dir), first, last, zone=zone)
+
+
+@query("hourly_impressions_new_york")
+def hourly_impressions_new_york(spark, sf_dir):
+    """With a day of 23 hours in the range."""
+    return _in_zone(spark, sf_dir, 60, "America/New_York", dt.date(2024, 3, 5), dt.date(2024, 3, 20))
+
+
+@query("hourly_impressions_adelaide")
+def hourly_impressions_adelaide(spark, sf_dir):
+    """With a day of 25 hours in the range, and hours that begin at half past of UTC; by their local date too."""
+    rows = _in_zone(spark, sf_dir, 80, "Australia/Adelaide", dt.date(2024, 4, 1), dt.date(2024, 4, 15))
+    return with_business_date(rows, "Australia/Adelaide")
+
+
 @query("stored_log_impressions")
 def stored_log_impressions(spark, sf_dir):
     """A log stored by UTC date and a signage table of the catalog, through the readers."""

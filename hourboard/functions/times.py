@@ -1,16 +1,19 @@
-"""Business time: Tokyo days, hours and minutes of UTC timestamps.
+"""Business time: days, hours and minutes of UTC timestamps in a zone, which is Tokyo if left out.
 
 Tokyo keeps one whole-hour offset all year, so local time is an addition and an hour bucket is the
-same instant in both zones. Nothing here depends on the session time zone, except where noted:
-instants are first turned into their UTC wall clock.
+same instant in both zones. Other zones are looked up: their days may have 23 or 25 hours, and their hours may
+begin at any minute of UTC. An hour that a change of offset repeats is two buckets. Nothing here depends on
+the session time zone, except where noted: instants are first turned into their UTC wall clock.
 """
 
 import datetime as dt
 import re
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+TOKYO = "Asia/Tokyo"
 JST_HOURS = 9
 JST = dt.timedelta(hours=JST_HOURS)
 
@@ -40,13 +43,18 @@ def instant_of(text: Column) -> Column:
     return F.when(text.rlike(ZONED_PATTERN), text.try_cast("timestamp")).otherwise(utc)
 
 
-def local_ts(ts: Column, ntz: bool) -> Column:
-    """Tokyo wall clock."""
-    return utc_wall(ts, ntz) + F.expr(f"INTERVAL {JST_HOURS} HOURS")
+def local_ts(ts: Column, ntz: bool, zone: str = TOKYO) -> Column:
+    """Wall clock of the zone."""
+    if zone == TOKYO:
+        return utc_wall(ts, ntz) + F.expr(f"INTERVAL {JST_HOURS} HOURS")
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall(ts, ntz))
 
 
-def hour_bucket(ts: Column, ntz: bool) -> Column:
-    """Start of the hour, in the flavour of the input; NULL of NULL."""
+def hour_bucket(ts: Column, ntz: bool, zone: str = TOKYO) -> Column:
+    """Start of the local hour, in the flavour of the input; NULL of NULL."""
+    if zone != TOKYO:
+        local = local_ts(ts, ntz, zone)
+        return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(local), F.extract(F.lit("SECOND"), local))
     if ntz:
         past = F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
         return ts - past
@@ -84,18 +92,21 @@ def day_window(
     last: dt.date,
     start_hour: int = 0,
     end_hour: int = 23,
+    zone: str = TOKYO,
 ) -> Column:
-    """Rows of the Tokyo days ``first``..``last``, each from ``start_hour`` to ``end_hour:59:59``.
+    """Rows of the local days ``first``..``last``, each from ``start_hour`` to ``end_hour:59:59``.
 
     Both ends are inclusive at second precision, so a fraction past ``:59:59`` falls out of every
     day. The outer bounds sit on the bare column, where they reach the scan.
     """
-    opens = dt.datetime.combine(first, dt.time(start_hour)) - JST
-    closes = dt.datetime.combine(last, dt.time(end_hour, 59, 59)) - JST
+    opens = _utc_of(dt.datetime.combine(first, dt.time(start_hour)), zone, min)
+    closes = _utc_of(dt.datetime.combine(last, dt.time(end_hour, 59, 59)), zone, max)
     window = ts.between(_utc_literal(opens, ntz), _utc_literal(closes, ntz))
-    if first < last:
-        local = local_ts(ts, ntz)
+    if first < last or zone != TOKYO:
+        local = local_ts(ts, ntz, zone)
         midnight = business_date(local).cast("timestamp_ntz")
+        if zone != TOKYO:  # where a change of offset spoils the ends, the bounds are wide
+            window &= business_date(local).between(first, last)
         window &= local.between(
             midnight + F.expr(f"INTERVAL {start_hour} HOURS"),
             midnight + F.expr(f"INTERVAL '{end_hour}:59:59' HOUR TO SECOND"),
@@ -103,10 +114,18 @@ def day_window(
     return window
 
 
-def utc_dates(first: dt.date, last: dt.date) -> tuple[dt.date, dt.date]:
-    """UTC dates touched by the Tokyo days ``first``..``last``, for a log partitioned by date."""
-    opens = dt.datetime.combine(first, dt.time.min) - JST
-    closes = dt.datetime.combine(last, dt.time.max) - JST
+def _utc_of(local: dt.datetime, zone: str, of) -> dt.datetime:
+    """The UTC wall clock at a local time; ``of`` (min or max) the two, where a change of offset makes it two or none."""
+    if zone == TOKYO:
+        return local - JST
+    both = (local.replace(tzinfo=ZoneInfo(zone), fold=fold).astimezone(dt.timezone.utc) for fold in (0, 1))
+    return of(both).replace(tzinfo=None)
+
+
+def utc_dates(first: dt.date, last: dt.date, zone: str = TOKYO) -> tuple[dt.date, dt.date]:
+    """UTC dates touched by the local days ``first``..``last``, for a log partitioned by date."""
+    opens = _utc_of(dt.datetime.combine(first, dt.time.min), zone, min)
+    closes = _utc_of(dt.datetime.combine(last, dt.time.max), zone, max)
     return opens.date(), closes.date()
 
 
@@ -148,9 +167,15 @@ def format_date(moment: Column, fmt: str) -> Column:
     return F.date_format(moment, spark_pattern(fmt))
 
 
-def yesterday(now: Column, ntz: bool) -> Column:
-    """The Tokyo day before ``now``."""
-    return F.date_sub(business_date(local_ts(now, ntz)), 1)
+def yesterday(now: Column, ntz: bool, zone: str = TOKYO) -> Column:
+    """The local day before ``now``."""
+    return F.date_sub(business_date(local_ts(now, ntz, zone)), 1)
+
+
+def yesterday_in(zone: str, now: dt.datetime | None = None) -> dt.date:
+    """The local day before ``now`` (an aware datetime; the present when left out)."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    return now.astimezone(ZoneInfo(zone)).date() - dt.timedelta(days=1)
 
 
 def yesterday_jst(now: dt.datetime | None = None) -> dt.date:

@@ -55,8 +55,12 @@ def strict_date(value: str) -> dt.date | None:
         return None
 
 
-def run_date(value: str | dt.date | None = None, now: dt.datetime | None = None) -> dt.date:
-    """Day of a daily run: the one given, else yesterday in Tokyo."""
+def run_date(
+    value: str | dt.date | None = None, now: dt.datetime | None = None, zone: str = times.TOKYO
+) -> dt.date:
+    """Day of a daily run: the one given, else yesterday in the zone."""
+    if not value and zone != times.TOKYO:
+        return times.yesterday_in(zone, now)
     if not value:
         return times.yesterday_jst(now) if now else times.yesterday_jst()
     day = parse_date(value)
@@ -109,8 +113,8 @@ class ImpressionJob:
     range_errors: list[tuple[dt.date, dt.date, str]] = field(default_factory=list)
 
     def run(self, date: str | dt.date | None = None, now: dt.datetime | None = None) -> DataFrame:
-        """The day given, else the Tokyo day before ``now``, which is the present if left out."""
-        day = run_date(date, now)
+        """The day given, else the local day before ``now``, which is the present if left out."""
+        day = run_date(date, now, self._zone)
         return self._log(self._load_span(day, day))
 
     def reprocess(self, date: str | None) -> DataFrame:
@@ -143,6 +147,10 @@ class ImpressionJob:
             index.settle(names)
         return entries
 
+    @property
+    def _zone(self) -> str:
+        return self.options.get("zone", times.TOKYO)
+
     def _load_span(self, first: dt.date, last: dt.date) -> list[tuple]:
         try:
             return [(day, True, rows, None) for day, rows in self._load(first, last).items()]
@@ -160,7 +168,8 @@ class ImpressionJob:
         kind = self.requests.schema["timestamp"].dataType
         if not self.store:
             target.ensure_table(self.spark, self.table, kind, self.location)
-        rows = with_business_date(hourly_impressions(self.requests, self.signage, first, last, **self.options))
+        rows = hourly_impressions(self.requests, self.signage, first, last, **self.options)
+        rows = with_business_date(rows, self._zone)
         if self.store:
             return self.store.replace_days(rows, first, last)
         return target.replace_days(self.spark, self.table, rows, first, last)

@@ -30,27 +30,28 @@ def filter_tracking(
     start_hour: int = 0,
     end_hour: int = 23,
     log_date: str | None = None,
+    zone: str = times.TOKYO,
 ) -> DataFrame:
-    """Completed plays of the Tokyo days ``first``..``last``.
+    """Completed plays of the local days ``first``..``last``.
 
     ``log_date`` names the UTC date column the log is partitioned by, if it has one, so that only
     the partitions those days touch are listed.
     """
     window = times.day_window(
-        F.col("timestamp"), is_ntz(requests, "timestamp"), first, last, start_hour, end_hour
+        F.col("timestamp"), is_ntz(requests, "timestamp"), first, last, start_hour, end_hour, zone
     )
     if log_date:
-        requests = requests.where(F.col(log_date).between(*times.utc_dates(first, last)))
+        requests = requests.where(F.col(log_date).between(*times.utc_dates(first, last, zone)))
     return requests.where(window & is_tracking_url(request_url()))
 
 
-def play_keys(plays: DataFrame) -> DataFrame:
-    """The eight group keys of each play and its Tokyo minute of day."""
+def play_keys(plays: DataFrame, zone: str = times.TOKYO) -> DataFrame:
+    """The eight group keys of each play and its local minute of day."""
     ts, url = F.col("timestamp"), request_url()
     ntz = is_ntz(plays, "timestamp")
-    local = times.local_ts(ts, ntz)
+    local = times.local_ts(ts, ntz, zone)
     texts = plays.select(
-        times.hour_bucket(ts, ntz).alias("timestamp_hourly"),
+        times.hour_bucket(ts, ntz, zone).alias("timestamp_hourly"),
         times.minute_of_day(local).alias("minute"),
         urls.query_param(url, "device_id").alias("device_id"),
         *[urls.param_text(url, name).alias(name) for name in INT_PARAMS],

@@ -21,8 +21,9 @@ def hourly_impressions(
     default_closing: str = hours.DEFAULT_CLOSING,
     log_date: str | None = None,
     broadcast_limit_bytes: int = signage.BROADCAST_LIMIT_BYTES,
+    zone: str = times.TOKYO,
 ) -> DataFrame:
-    """Hourly impressions and completions of the Tokyo days ``first``..``last``.
+    """Hourly impressions and completions of the days ``first``..``last`` of the zone.
 
     Each day is cut to ``start_hour``..``end_hour``, so a range gives what its days give one by
     one. While the folded signage table is measured to fit ``broadcast_limit_bytes`` it is
@@ -30,7 +31,7 @@ def hourly_impressions(
     per minute before they are shuffled to their device's hours.
     """
     plays = tracking.play_keys(
-        tracking.filter_tracking(requests, first, last or first, start_hour, end_hour, log_date)
+        tracking.filter_tracking(requests, first, last or first, start_hour, end_hour, log_date, zone), zone
     )
     devices = signage.device_hours(signage_table, default_opening, default_closing)
     fits = devices.size_bytes <= broadcast_limit_bytes
@@ -40,7 +41,7 @@ def hourly_impressions(
     return counts.with_impressions(counts.count_groups(joined, devices))
 
 
-def with_business_date(impressions: DataFrame) -> DataFrame:
-    """Target rows: the result with its Tokyo day ``dt``, in table order."""
-    hour = times.local_ts(F.col("timestamp_hourly"), is_ntz(impressions, "timestamp_hourly"))
+def with_business_date(impressions: DataFrame, zone: str = times.TOKYO) -> DataFrame:
+    """Target rows: the result with its local day ``dt``, in table order."""
+    hour = times.local_ts(F.col("timestamp_hourly"), is_ntz(impressions, "timestamp_hourly"), zone)
     return impressions.withColumn("dt", times.business_date(hour)).select(*TARGET_COLUMNS)

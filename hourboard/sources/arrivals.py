@@ -32,7 +32,7 @@ DAYS = "dt date, plays bigint"
 
 @dataclass(frozen=True)
 class Arrival:
-    """A batch of new files: how many they are, and the plays they hold by Tokyo day."""
+    """A batch of new files: how many they are, and the plays they hold by local day."""
 
     name: str
     files: int
@@ -40,8 +40,8 @@ class Arrival:
 
 
 class ArrivalIndex:
-    def __init__(self, spark: SparkSession, place: str):
-        self.spark, self.place = spark, place.rstrip("/")
+    def __init__(self, spark: SparkSession, place: str, zone: str = times.TOKYO):
+        self.spark, self.place, self.zone = spark, place.rstrip("/"), zone
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._files = self._path(self.place).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -56,7 +56,7 @@ class ArrivalIndex:
         return found
 
     def _note(self, files: list[tuple], fmt: str) -> Arrival:
-        plays = plays_per_day(read_requests(self.spark, [path for path, _, _ in files], fmt))
+        plays = plays_per_day(read_requests(self.spark, [path for path, _, _ in files], fmt), self.zone)
         name, staged = uuid.uuid4().hex, f"{self.place}/.{uuid.uuid4().hex}"
         self.spark.createDataFrame(files, FILES).write.parquet(f"{staged}/files")
         plays.write.parquet(f"{staged}/days")
@@ -92,9 +92,9 @@ class ArrivalIndex:
             self._files.mkdirs(self._path(f"{self.place}/settled/{name}"))
 
 
-def plays_per_day(requests: DataFrame) -> DataFrame:
-    """``(dt, plays)``: completed plays by Tokyo day. What falls out of every day's window is not counted."""
-    local = times.local_ts(F.col("timestamp"), is_ntz(requests, "timestamp"))
+def plays_per_day(requests: DataFrame, zone: str = times.TOKYO) -> DataFrame:
+    """``(dt, plays)``: completed plays by local day. What falls out of every day's window is not counted."""
+    local = times.local_ts(F.col("timestamp"), is_ntz(requests, "timestamp"), zone)
     plays = requests.where(tracking.is_tracking_url(tracking.request_url())).select(local.alias("local"))
     day = times.business_date(F.col("local"))
     inside = F.col("local") <= day.cast("timestamp_ntz") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")

@@ -1,6 +1,7 @@
 """Column functions on edge values."""
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 import pytest
 from hypothesis import given, settings
@@ -257,3 +258,54 @@ def test_rank_order_is_text_order(spark):
         F.col("minute") < hours.minute_rank(closing)
     )
     assert frame.crossJoin(minutes).where(by_text != by_rank).count() == 0
+
+
+#: By zone: a day, its first and last moment in UTC, and how many hours it has.
+ODD_DAYS = [
+    ("America/New_York", dt.date(2024, 3, 10), "2024-03-10 05:00:00", "2024-03-11 03:59:59", 23),
+    ("America/New_York", dt.date(2024, 11, 3), "2024-11-03 04:00:00", "2024-11-04 04:59:59", 25),
+    ("Australia/Adelaide", dt.date(2024, 4, 7), "2024-04-06 13:30:00", "2024-04-07 14:29:59", 25),
+    ("Asia/Kathmandu", dt.date(2024, 1, 5), "2024-01-04 18:15:00", "2024-01-05 18:14:59", 24),
+    ("America/Santiago", dt.date(2024, 9, 8), "2024-09-08 04:00:00", "2024-09-09 02:59:59", 23),  # has no midnight
+]
+
+
+@pytest.mark.parametrize("ntz", [True, False])
+@pytest.mark.parametrize("session", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("zone, day, first, last, hours", ODD_DAYS)
+def test_days_of_other_zones(spark, zone, day, first, last, hours, session, ntz):
+    """Every minute and the seconds around the ends of a day, against the zone's rules in Python."""
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        opens, closes = utc(first), utc(last)
+        moments = [opens + dt.timedelta(minutes=n) for n in range(-90, 27 * 60)]
+        moments += [opens - dt.timedelta(seconds=1), closes, closes + dt.timedelta(seconds=1)]
+        if ntz:
+            frame = spark.createDataFrame([(m.replace(tzinfo=None),) for m in moments], "ts timestamp_ntz")
+        else:
+            frame = spark.createDataFrame([(m,) for m in moments], "ts timestamp")
+        ts = F.col("ts")
+        local = times.local_ts(ts, ntz, zone)
+        rows = frame.select(
+            times.utc_wall(ts, ntz).cast("string").alias("utc"),
+            times.day_window(ts, ntz, day, day, zone=zone).alias("inside"),
+            times.day_window(ts, ntz, day, day + dt.timedelta(days=1), zone=zone).alias("two"),
+            local.cast("string").alias("local"),
+            times.utc_wall(times.hour_bucket(ts, ntz, zone), ntz).cast("string").alias("hour"),
+            times.yesterday(ts, ntz, zone).alias("yesterday"),
+        ).collect()
+        buckets = set()
+        for row in rows:
+            moment = utc(row.utc)
+            there = moment.astimezone(ZoneInfo(zone))
+            assert row.local == there.strftime("%Y-%m-%d %H:%M:%S")
+            assert row.inside == (opens <= moment <= closes) == (there.date() == day)
+            assert row.two == (day <= there.date() <= day + dt.timedelta(days=1))
+            assert utc(row.hour) == moment - dt.timedelta(minutes=there.minute, seconds=there.second)
+            assert row.yesterday == there.date() - dt.timedelta(days=1) == times.yesterday_in(zone, moment)
+            if row.inside:
+                buckets.add(row.hour)
+        assert len(buckets) == hours
+        assert times.utc_dates(day, day, zone) == (opens.date(), closes.date())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
