@@ -10,13 +10,17 @@ apart. There are as many independent trees (:func:`trees`) as bring the chance b
 at the threshold, alike in as many tokens as chance has it, shares no node at DEPTH. Pairs that meet in a
 small node earlier, or are more alike, are missed less. What all trees miss is not found otherwise.
 
+Copies of one text would stay together through all levels of all trees. So FIRST_TREES trees of
+FIRST_DEPTH levels are looked at first for large nodes alone; what is there is compared in blocks, and the
+components of the links that full sets confirm are labels. From then on a node of one label is done with, and so is a
+large one in which all but SMALL sets have the same: these few are compared with all others, in blocks.
+
 What the trees link are candidates only. Their components are small; each brings its full sets
 together once, and links are confirmed on these, between sets that are not yet connected, likely
-ones first. A component of over BLOCK sets is split at random into blocks, each with the
-component's first set. Sets that do not end up connected with that first one are then sent to the
-other blocks and compared with all sets there. So every pair that is not connected otherwise is
-compared. A task of the first round holds no more than a block; one of the second holds a block and all that is
-sent to it, which of N sets without links of their own is N.
+ones first. A component of over BLOCK sets is split at random into blocks, each with some sets of all of it
+(:data:`PILOTS`). Sets that do not end up connected with most of the component are then sent to the
+other blocks, again in blocks, and compared with all sets there. So every pair that is not connected otherwise is
+compared, and no task holds more than two blocks.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing. With fewer words
 than a shingle has, the whole sequence is the one shingle. Repeated rows have equal sets; rows that share
@@ -48,6 +52,10 @@ DEPTH, MISSED = 6, 0.001
 HASHED_BYTES = 1 << 20
 #: Sets in a node that are compared exhaustively, and in a block.
 SMALL, BLOCK = 64, 256
+#: Trees and levels of the first look at large nodes, and the sets of a component that all its blocks have.
+FIRST_TREES, FIRST_DEPTH, PILOTS = 4, 2, 16
+#: Links that a task thins out at once.
+THINNED = 1 << 16
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,7 +176,7 @@ def tokens_of(column: pa.Array) -> np.ndarray:
 
 
 def branches(nodes: DataFrame, threshold: float) -> DataFrame:
-    """``(id, path)`` of the children of ``nodes`` (``id``, ``path``, ``sketch``)."""
+    """``(id, path, label)`` of the children of ``nodes`` (``id``, ``path``, ``sketch``, ``label``)."""
     limit = np.uint64(int(2**64 / (threshold * TOKENS)))
 
     def run(batches):
@@ -177,9 +185,10 @@ def branches(nodes: DataFrame, threshold: float) -> DataFrame:
             chosen = mixed(tokens_of(batch.column(2)) ^ mixed(paths + EVEN)[:, None])
             rows, at = np.nonzero(chosen < limit)
             children = mixed(chosen[rows, at] + STEP).view(np.int64)
-            yield pa.record_batch({"id": batch.column(0).take(pa.array(rows)), "path": pa.array(children)})
+            rows = pa.array(rows)
+            yield pa.record_batch({"id": batch.column(0).take(rows), "path": pa.array(children), "label": batch.column(3).take(rows)})
 
-    return nodes.select("id", "path", "sketch").mapInArrow(run, "id long, path long")
+    return nodes.select("id", "path", "sketch", "label").mapInArrow(run, "id long, path long, label long")
 
 
 def grouped(batches, keys: int):
@@ -202,19 +211,22 @@ def grouped(batches, keys: int):
 
 
 def compared(nodes: DataFrame) -> DataFrame:
-    """``(a, b)``: links within small nodes (``path``, ``id``, ``sketch``) that connect what is alike there."""
+    """``(a, b)``: labels that are linked within small nodes (``path, id, label, sketch``), as far as connects what is alike."""
 
     def run(batches):
         a, b = [], []
         for node in grouped(batches, 1):
-            ids = node.column("id").to_numpy()
+            labels = node.column("label").to_numpy()
             values = np.array([np.frombuffer(x, np.uint32) for x in node.column("sketch").to_pylist()])
-            left = np.arange(1, len(ids))
+            left = np.arange(1, len(labels))
             reached = [0]
             while reached:  # outwards from one set through all that are alike, then from the next
                 near = left[(values[left] == values[reached[-1]]).sum(axis=1) >= AGREEING]
-                a += [ids[reached[-1]]] * len(near)
-                b += ids[near].tolist()
+                own = labels[reached[-1]]
+                other = np.unique(labels[near])
+                other = other[other != own].tolist()
+                a += [own] * len(other)
+                b += other
                 left = np.setdiff1d(left, near, assume_unique=True)
                 reached = [*reached[:-1], *near.tolist()]
                 if not reached and len(left):
@@ -225,7 +237,7 @@ def compared(nodes: DataFrame) -> DataFrame:
         yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     parts = shuffle_partitions(nodes.sparkSession)
-    dealt = nodes.select("path", "id", "sketch").repartition(parts, "path").sortWithinPartitions("path", "id")
+    dealt = nodes.select("path", "id", "label", "sketch").repartition(parts, "path").sortWithinPartitions("path", "id")
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -245,25 +257,72 @@ def trees(threshold: float) -> int:
     return next(count for count in itertools.count(1) if missed(threshold, count) < MISSED)
 
 
+def rooted(sets: DataFrame, count: int) -> DataFrame:
+    return sets.withColumn("path", F.explode(F.array(*[F.lit(k).cast("long") for k in range(count)])))
+
+
+def bridged(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b)``: labels linked with those sets in large ``nodes`` (``path, id, label, top, n``) that have not the ``top`` label.
+
+    They are sent to all blocks of the node, and each is linked to one set of a block that is likely to be alike.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.array(F.pmod(F.xxhash64("id"), blocks))
+    guest = F.col("label") != F.col("top")
+    dealt = nodes.select(
+        "path", F.explode(F.when(guest, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own)).alias("block"),
+        "id", "label", guest.alias("guest"),
+    ).join(sets.select("id", "sketch"), "id")
+
+    def run(batches):
+        for block in grouped(batches, 2):
+            labels, guests = block.column("label").to_numpy(), int(pc.sum(block.column("guest").cast("int64")).as_py())
+            values = np.array([np.frombuffer(x, np.uint32) for x in block.column("sketch").to_pylist()])
+            a, b = [], []
+            for k in range(guests):
+                near = np.flatnonzero((values[k + 1 :] == values[k]).sum(axis=1) >= AGREEING) + k + 1
+                near = np.concatenate([near[near < guests], near[near >= guests][:1]])
+                a += [labels[k]] * len(near)
+                b += labels[near].tolist()
+            yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    parts = shuffle_partitions(nodes.sparkSession)
+    dealt = dealt.select("path", "block", "guest", "id", "label", "sketch").repartition(parts, "path", "block")
+    return dealt.sortWithinPartitions("path", "block", F.desc("guest"), "id").mapInArrow(run, "a long, b long")
+
+
 def candidates(sets: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: links that connect all sets (``id``, ``sketch``) that are likely to be alike."""
-    roots = sets.withColumn("path", F.explode(F.array(*[F.lit(k).cast("long") for k in range(trees(threshold))])))
+    """``(a, b)``: labels linked so that all ``sets`` (``id, sketch, label``) that are likely to be alike are connected.
+
+    Without labels, each set is its own.
+    """
+    if "label" not in sets.columns:
+        sets = sets.withColumn("label", F.col("id"))
+    roots = rooted(sets, trees(threshold))
     found = None
     for depth in range(1, DEPTH + 1):
-        children = stored(branches(roots, threshold), "paths")
-        sizes = children.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        sizes = stored(sizes, "nodes")
-        members = join_unique(children, sizes, ["path"], "n", children.count())
-        small = members.where(F.col("n") <= SMALL).join(sets, "id")
-        links = compared(small)
-        large = members.where(F.col("n") > SMALL)
+        children = branches(roots, threshold)
+        if "label" not in children.columns:
+            children = children.withColumn("label", F.col("id"))
+        children = stored(children, "paths")
+        sizes = children.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        sizes = stored(sizes.where("n > 1 and low <> high").select("path", "n"), "nodes")
+        members = children.join(sizes, "path")
+        small = members.where(F.col("n") <= SMALL).select("id", "path").join(sets, "id")
+        large = stored(members.where(F.col("n") > SMALL), "large")
+        tops = large.groupBy("path", "n", "label").agg(F.count("*").alias("c")).groupBy("path", "n")
+        tops = tops.agg(F.max_by("label", "c").alias("top"), (F.col("n") - F.max("c")).alias("others"))
+        tops = stored(tops.select("path", "top", "others"), "tops")
+        few = large.join(tops.where(F.col("others") <= SMALL), "path")
+        links = compared(small).unionByName(bridged(few, sets))
+        large = large.join(tops.where(F.col("others") > SMALL), "path")
         if depth == DEPTH:
-            firsts = large.groupBy("path").agg(F.min("id").alias("a"), F.max("n").alias("n"))
-            rest = join_unique(large.select("path", F.col("id").alias("b")), firsts, ["path"], "n", children.count())
-            links = links.unionByName(rest.select("a", "b"))
+            held = large.select("path", "label").distinct()
+            firsts = held.groupBy("path").agg(F.min("label").alias("a"))
+            links = links.unionByName(held.join(firsts, "path").select("a", F.col("label").alias("b")))
         links = stored(links.where("a <> b").distinct(), "candidates")
         found = links if found is None else found.unionByName(links)
-        if not large.limit(1).count():
+        if not tops.where(F.col("others") > SMALL).limit(1).count():
             break
         roots = large.select("id", "path").join(sets, "id")
     return found
@@ -279,9 +338,10 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def confirm(sets: list[np.ndarray], sketches: np.ndarray, labels: np.ndarray, percent: int, guests: int = 0):
-    """Pairs (by place) of sets that are alike and connect what ``labels`` has apart; likely ones are tried first.
+    """Pairs ``(a, b)`` of ``labels`` that connect those of sets that are alike, each with the least of its kind.
 
-    With ``guests``, only pairs of one of the first ``guests`` sets and one of the others are tried.
+    Likely pairs are tried first, and only while their labels are not connected. With ``guests``, only pairs of
+    one of the first ``guests`` sets and one of the others are tried.
     """
     agree = np.zeros((len(sets), len(sets)), np.int16)
     for k in range(TOKENS):
@@ -290,38 +350,33 @@ def confirm(sets: list[np.ndarray], sketches: np.ndarray, labels: np.ndarray, pe
     if guests:
         mixed_pairs = (i < guests) & (j >= guests)
         i, j = i[mixed_pairs], j[mixed_pairs]
-    labels = labels.copy()
+    joined = labels.copy()
     for at in np.argsort(-agree[i, j], kind="stable"):
         a, b = i[at], j[at]
-        if labels[a] != labels[b] and alike(sets[a], sets[b], percent):
-            labels[labels == labels[b]] = labels[a]
-            yield a, b
+        if joined[a] != joined[b] and alike(sets[a], sets[b], percent):
+            least = min(joined[a], joined[b])
+            joined[(joined == joined[a]) | (joined == joined[b])] = least
+    changed = joined != labels
+    return np.unique(np.stack([joined[changed], labels[changed]], 1), axis=0)
 
 
 def confirmed(members: DataFrame, percent: int, keys: list[str], guest: bool) -> DataFrame:
-    """``(a, b)`` of the groups by ``keys`` of ``members`` (``id``, ``shingles``, ``label``, ``guest``)."""
+    """``(a, b)``: labels linked in the groups by ``keys`` of ``members`` (``id``, ``shingles``, ``label``, ``guest``)."""
 
     def run(batches):
         for group in grouped(batches, len(keys)):
-            ids, labels = group.column("id").to_numpy(), group.column("label").to_numpy()
+            labels = group.column("label").to_numpy()
             sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
             sketches = np.array([sketch(s) for s in sets])
             guests = int(pc.sum(group.column("guest")).as_py()) if guest else 0
-            if guest and guests in (0, len(ids)):
+            if guest and guests in (0, len(labels)):
                 continue
-            # Guests are compared some at a time; the group itself is held whole.
-            stay = np.arange(guests, len(ids))
+            # Guests are compared some at a time.
+            stay = np.arange(guests, len(labels))
             for at in range(0, max(1, guests), BLOCK):
                 some = np.concatenate([np.arange(at, min(at + BLOCK, guests)), stay])
-                pairs = list(
-                    confirm([sets[k] for k in some], sketches[some], labels[some], percent, len(some) - len(stay))
-                )
-                yield pa.record_batch(
-                    {
-                        "a": pa.array([ids[some[a]] for a, _ in pairs], pa.int64()),
-                        "b": pa.array([ids[some[b]] for _, b in pairs], pa.int64()),
-                    }
-                )
+                pairs = confirm([sets[k] for k in some], sketches[some], labels[some], percent, len(some) - len(stay))
+                yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     parts = shuffle_partitions(members.sparkSession)
     dealt = members.select(*keys, "id", "label", "guest", "shingles").repartition(parts, *keys)
@@ -342,35 +397,117 @@ def full_sets(docs: DataFrame, members: DataFrame, width: int, id_col: str, text
     return rows.join(members, "id").select(*names, "text").mapInArrow(run, schema)
 
 
-def linked_components(
-    docs: DataFrame, sets: DataFrame, percent: int, width: int, id_col: str, text_col: str
-) -> DataFrame:
-    """``(id, component)`` of distinct ``sets`` (``id``, ``sketch``)."""
-    maybe = candidates(sets, percent / 100)
-    near = components(maybe.select(F.col("a").alias("id")).union(maybe.select("b")).distinct(), maybe)
-    near = stored(near.withColumnRenamed("component", "cluster"), "clusters")
+def thinned(links: DataFrame) -> DataFrame:
+    """``links`` (``a``, ``b``) as few as connect what some ten thousand of them at once connect, each with the least id.
+
+    Trees, levels and blocks give many ways from one set to another; what is left has short ways and is soon labelled.
+    """
+
+    def run(batches):
+        least: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := least.setdefault(x, x)) != x:
+                least[x] = x = least[up]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                if a != b:
+                    least[max(a, b)] = min(a, b)
+        ends = [(root(x), x) for x in list(least)]
+        ends = [end for end in ends if end[0] != end[1]]
+        yield pa.record_batch([pa.array([end[k] for end in ends], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    tasks = max(1, -(-links.count() // THINNED))
+    return stored(links.select("a", "b").repartition(tasks).mapInArrow(run, "a long, b long"), "thinned")
+
+
+def placed_in_blocks(docs: DataFrame, near: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, cluster, label, blocks, block, shingles)`` of ``near`` (``id, cluster, label``)."""
     sizes = near.groupBy("cluster").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK)
     members = join_unique(near, stored(sizes, "sizes"), ["cluster"], "n", near.count()).select(
-        "id", "cluster", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).alias("block")
+        "id", "cluster", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).alias("block")
     )
-    members = stored(full_sets(docs, members, width, id_col, text_col), "sets")
-    home = members.withColumn("label", F.col("id")).withColumn("guest", F.lit(0))
-    others = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x != F.col("block")))
-    first = home.where("id = cluster and blocks > 1").withColumn("block", others)
-    links = stored(confirmed(home.unionByName(first), percent, ["cluster", "block"], False), "links")
+    return stored(full_sets(docs, members, width, id_col, text_col), "sets")
+
+
+def other_blocks():
+    blocks = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    return F.explode(F.filter(blocks, lambda x: x != F.col("block")))
+
+
+def linked_in_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: labels linked within the blocks of ``members``, each with the pilots of its cluster."""
+    wide = members.where("blocks > 1")
+    pilots = wide.groupBy("cluster", F.pmod(F.xxhash64("id", F.lit(1)), PILOTS)).agg(F.min("id").alias("id")).select("id")
+    pilots = wide.join(pilots, "id").withColumn("block", other_blocks())
+    home = members.unionByName(pilots.select(*members.columns)).withColumn("guest", F.lit(0))
+    return stored(confirmed(home, percent, ["cluster", "block"], False), "links")
+
+
+def joined_copies(docs: DataFrame, sets: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``sets`` with the ``label`` that the confirmed links among sets of large nodes give, else their own id.
+
+    Each set is compared in one node only, so this finds the links of many copies, not all.
+    """
+    threshold = percent / 100
+    sets = sets.withColumn("label", F.col("id"))
+    roots = rooted(sets, FIRST_TREES)
+    for _ in range(FIRST_DEPTH):
+        children = stored(branches(roots, threshold), "paths")
+        sizes = children.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
+        large = stored(children.join(sizes, "path"), "large")
+        if not large.limit(1).count():
+            return sets
+        roots = large.select("id", "path").join(sets, "id")
+    largest = F.max(F.struct("n", "path")).alias("node")
+    near = large.groupBy("id", "label").agg(largest).select("id", F.col("node.path").alias("cluster"), "label")
+    links = thinned(linked_in_blocks(placed_in_blocks(docs, stored(near, "first"), width, id_col, text_col), percent))
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    labels = components(ends, links).withColumnRenamed("component", "label")
+    return stored(sets.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled")
+
+
+def by_label(frame: DataFrame, found: DataFrame) -> DataFrame:
+    """``frame`` with the columns that ``found`` has for its ``label`` (``id`` there), if it has any."""
+    sizes = frame.groupBy("label").agg(F.count("*").alias("n_label"))
+    found = stored(found.withColumnRenamed("id", "label").join(sizes, "label"), "found")
+    return join_unique(frame, found, ["label"], "n_label", frame.count()).drop("n_label")
+
+
+def linked_components(
+    docs: DataFrame, sets: DataFrame, percent: int, width: int, id_col: str, text_col: str
+) -> DataFrame:
+    """``(id, component)`` of distinct ``sets`` (``id``, ``sketch``). Links are of labels throughout."""
+    sets = joined_copies(docs, sets, percent, width, id_col, text_col)
+    maybe = thinned(candidates(sets, percent / 100))
+    near = components(maybe.select(F.col("a").alias("id")).union(maybe.select("b")).distinct(), maybe)
+    near = by_label(sets.select("id", "label"), near.withColumnRenamed("component", "cluster"))
+    members = placed_in_blocks(docs, stored(near.select("id", "cluster", "label"), "clusters"), width, id_col, text_col)
+    links = thinned(linked_in_blocks(members, percent))
 
     wide = members.where("blocks > 1")
     if wide.limit(1).count():
-        ids = wide.select("id").distinct()
-        inner = links.join(ids.withColumnRenamed("id", "a"), "a", "left_semi")
-        labels = stored(components(ids, inner).withColumnRenamed("component", "label"), "labels")
-        at_home = wide.join(labels, "id").withColumn("guest", F.lit(0))
-        # What is not connected with the cluster's first set, whose label is the cluster, goes round.
-        away = at_home.where("label <> cluster").withColumn("guest", F.lit(1)).withColumn("block", others)
-        round_ = confirmed(at_home.unionByName(away), percent, ["cluster", "block"], True)
+        held = wide.select(F.col("label").alias("id")).distinct()
+        inner = links.join(held.withColumnRenamed("id", "a"), "a", "left_semi")
+        joined = components(held, inner).withColumnRenamed("component", "joined")
+        at_home = by_label(wide, joined).drop("label").withColumnRenamed("joined", "label").withColumn("guest", F.lit(0))
+        # What is not connected with most of its cluster goes round, in blocks of its own.
+        counts = at_home.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster")
+        main = counts.agg(F.max_by("label", "c").alias("main"), (F.sum("c") - F.max("c")).alias("others"))
+        main = stored(main.where("others > 0"), "main")
+        groups = F.ceil(F.col("others") / BLOCK)
+        at_home = at_home.join(main.select("cluster", "main", groups.alias("groups")), "cluster")
+        away = at_home.where("label <> main").withColumn("guest", F.lit(1)).withColumn("block", other_blocks())
+        away = away.withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("groups")))
+        at_home = at_home.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
+        round_ = confirmed(at_home.unionByName(away), percent, ["cluster", "block", "part"], True)
         links = links.unionByName(stored(round_, "links"))
-    return components(sets.select("id").distinct(), links)
+    found = components(sets.select(F.col("label").alias("id")).distinct(), links)
+    return by_label(sets.select("id", "label"), found).select("id", "component")
 
 
 def near_dedup(
