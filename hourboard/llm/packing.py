@@ -107,14 +107,16 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
     groups = max(1, math.ceil(parts.count() / GROUP_PIECES))
     group = F.pmod(F.xxhash64("place"), F.lit(groups))
 
-    def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([id_col, "piece", "ids_crc32"], ignore_index=True)
-        sequence, offset = sum_of_squares(rows["length"].to_numpy(), capacity)
-        fill = np.bincount(sequence, rows["length"].to_numpy())
-        return rows.assign(bin=sequence, offset=offset, filled=fill[sequence].astype(np.int64))
-
+    def pack_group(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("place").drop_columns("place")
+        lengths = rows.column("length").to_numpy()
+        sequence, offset = sum_of_squares(lengths, capacity)
+        fill = np.bincount(sequence, lengths)[sequence].astype(np.int64)
+        return rows.append_column("bin", [sequence]).append_column("offset", [offset]).append_column("filled", [fill])
+
+    # As Arrow, so that ids beside null ones stay whole numbers.
     columns = f"{id_col} {PIECES}, group long, bin long, offset long, filled long"
-    placed = parts.withColumn("group", group).drop("place").groupBy("group").applyInPandas(pack_group, columns)
+    placed = parts.withColumn("group", group).groupBy("group").applyInArrow(pack_group, columns)
     placed = stored(placed, "packed")
 
     def pack_open(rows: pd.DataFrame) -> pd.DataFrame:
