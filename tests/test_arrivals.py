@@ -61,7 +61,7 @@ def test_an_update_that_dies_finds_the_files_again(spark, index, tmp_path, monke
     place = str(tmp_path / "log")
     write(spark, place, ("2025-03-20 03:00:00", track()))
     with monkeypatch.context() as patched:
-        patched.setattr(arrivals, "plays_per_day", lambda requests: requests.select(F.raise_error(F.lit("no"))))
+        patched.setattr(arrivals, "plays_per_day", lambda requests, zone: requests.select(F.raise_error(F.lit("no"))))
         with pytest.raises(Exception, match="no"):
             index.update(place, "parquet")
     assert index.pending() == set() and index.files().count() == 0
