@@ -39,6 +39,8 @@ from hourboard.llm.word_ids import slices
 MAX_DOCS = 1000
 #: Distinct words of a language that are learned.
 MAX_WORDS = 6000
+#: Texts that are parsed at once: their words and what these cost are held.
+PORTION = 512
 #: Documents whose id has this checksum remainder are held out.
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -115,7 +117,7 @@ class CrossParser:
         flat = words.flatten().dictionary_encode()
         if isinstance(flat, pa.ChunkedArray):
             flat = flat.combine_chunks()
-        costs = np.array([self.word(w) for w in flat.dictionary.to_pylist()], np.int64).reshape(-1, len(self.names) + 1)
+        costs = np.array([self.word(w) for w in flat.dictionary.to_pylist()], np.int32).reshape(-1, len(self.names) + 1)
         sums = np.zeros((len(flat) + 1, costs.shape[1]), np.int64)
         np.cumsum(costs[flat.indices.to_numpy()], axis=0, out=sums[1:])
         edges = words.offsets.to_numpy() - words.offsets[0].as_py()
@@ -172,7 +174,8 @@ def identify(
 
     def predict(batches):
         parser = None
-        for batch in slices(batches):
+        portions = (batch.slice(at, PORTION) for batch in slices(batches) for at in range(0, batch.num_rows, PORTION))
+        for batch in portions:
             parser = parser or CrossParser(shared.value)
             predicted, scores = parser.predict(batch.column(text_at))
             yield pa.record_batch(
