@@ -8,7 +8,7 @@ language with the least cost wins, of equals the first by name.
 
 Phrases do not cross words, and a word is read with the space before and after it. So a text costs
 what its words cost, each distinct word of a batch is parsed once per language, and an automaton
-needs each learned word once only.
+needs each learned word once only. Words are parsed side by side, a letter of each at a time.
 
 The model is fitted on a bounded sample of the labelled rows: about MAX_DOCS documents a language,
 those with the smallest hash of their id, and of them the MAX_WORDS commonest words. All of every text is
@@ -41,10 +41,16 @@ MAX_DOCS = 1000
 MAX_WORDS = 6000
 #: Texts that are parsed at once: their words and what these cost are held.
 PORTION = 512
+#: Letters of the longest words that are parsed side by side; longer ones are parsed one by one.
+LONGEST = 64
 #: Documents whose id has this checksum remainder are held out.
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
+CHARACTERS = 0x110000
+IS_LETTER = np.zeros(CHARACTERS, bool)
+IS_LETTER[[ord(c) for c in regex.findall(r"\p{L}", "".join(map(chr, range(CHARACTERS))))]] = True
+
 
 class SuffixAutomaton:
     """All strings that occur in a text."""
@@ -91,25 +97,77 @@ class SuffixAutomaton:
             state = start if following is None else nexts[following]
         return found + (state is not start)
 
+    def table(self, columns: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What follows a state and a letter: sorted ``state * width + column``, the states that follow, and the start's row."""
+        keys = [state * width + columns[ord(c)] for state, following in enumerate(self.nexts) for c in following]
+        targets = [target for following in self.nexts for target in following.values()]
+        keys, targets = np.array(keys, np.int64), np.array(targets, np.int64)
+        order = np.argsort(keys)
+        keys, targets = keys[order], targets[order]
+        firsts = np.zeros(width, np.int64)
+        firsts[keys[keys < width]] = targets[keys < width]
+        return keys, targets, firsts
+
+
+def phrases_of(
+    table: tuple[np.ndarray, np.ndarray, np.ndarray], letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, space: int
+) -> np.ndarray:
+    """As :meth:`SuffixAutomaton.phrases`, of words at ``starts`` in ``letters`` (columns), the longest first, and spaces around them."""
+    keys, targets, firsts = table
+    states, found = np.full(len(starts), firsts[space]), np.zeros(len(starts), np.int64)
+
+    def step(count: int, column: np.ndarray) -> None:
+        wanted = states[:count] * len(firsts) + column
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        known = keys[at] == wanted
+        again = firsts[column]
+        # State 0, the start, follows on nothing.
+        found[:count] += np.where(known, 0, (states[:count] > 0).astype(np.int64) + (again == 0))
+        states[:count] = np.where(known, targets[at], again)
+
+    for place in range(int(sizes[0]) if len(sizes) else 0):
+        count = int(np.searchsorted(-sizes, -place))
+        step(count, letters[starts[:count] + place])
+    step(len(starts), np.full(len(starts), space))
+    return found + (states > 0)
+
 
 class CrossParser:
     """The languages learned, and what texts cost in each."""
 
-    letters = regex.compile(r"\p{L}+")
-
     def __init__(self, learned: dict[str, list[str]]):
         self.names = sorted(learned)
         joined = {name: f" {' '.join(learned[name])} " for name in self.names}
         self.automata = [SuffixAutomaton(joined[name]) for name in self.names]
         self.prices = np.array([math.log2(max(2, len(joined[name]))) for name in self.names])
+        alphabet = sorted(set(" ".join(joined.values())) | {" "})
+        self.columns = np.zeros(CHARACTERS, np.int64)  # 0 for what no language has
+        self.columns[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        self.tables = [automaton.table(self.columns, len(alphabet) + 1) for automaton in self.automata]
 
-    def word(self, word: str) -> list[int]:
-        """Letters of a word, and its phrases in each language."""
-        parts = self.letters.findall(word)
-        costs = [sum(map(len, parts))]
-        for automaton in self.automata:
-            costs.append(sum(automaton.phrases(f" {part} ") for part in parts))
-        return costs
+    def costs(self, words: list[str]) -> np.ndarray:
+        """For each word, its letters and its phrases in each language."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        rows = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        solid = IS_LETTER[points]
+        joins = solid[1:] & solid[:-1] & (rows[1:] == rows[:-1])
+        begins, ends = solid.copy(), solid.copy()
+        begins[1:] &= ~joins
+        ends[:-1] &= ~joins
+        starts = np.flatnonzero(begins)
+        sizes = np.flatnonzero(ends) + 1 - starts
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[order], sizes[order]
+        long = int(np.searchsorted(-sizes, -LONGEST))
+        parts = [points[a : a + n].tobytes().decode("utf-32-le") for a, n in zip(starts[:long], sizes[:long], strict=True)]
+        letters = self.columns[points]
+        of = rows[starts]
+        counts = [np.bincount(rows[solid], minlength=len(words))]
+        for automaton, table in zip(self.automata, self.tables, strict=True):
+            one_by_one = [automaton.phrases(f" {part} ") for part in parts]
+            found = phrases_of(table, letters, starts[long:], sizes[long:], self.columns[ord(" ")])
+            counts.append(np.bincount(of, np.concatenate([one_by_one, found]), len(words)).astype(np.int64))
+        return np.stack(counts, 1)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -117,7 +175,7 @@ class CrossParser:
         flat = words.flatten().dictionary_encode()
         if isinstance(flat, pa.ChunkedArray):
             flat = flat.combine_chunks()
-        costs = np.array([self.word(w) for w in flat.dictionary.to_pylist()], np.int32).reshape(-1, len(self.names) + 1)
+        costs = self.costs(flat.dictionary.to_pylist())
         sums = np.zeros((len(flat) + 1, costs.shape[1]), np.int64)
         np.cumsum(costs[flat.indices.to_numpy()], axis=0, out=sums[1:])
         edges = words.offsets.to_numpy() - words.offsets[0].as_py()

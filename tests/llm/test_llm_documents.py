@@ -289,6 +289,19 @@ def test_automaton_knows_all_substrings():
         assert automaton.phrases(query) == count
 
 
+def test_words_side_by_side_cost_what_they_cost_alone():
+    random.seed(5)
+    learned = {name: ["".join(random.choices(letters, k=random.randint(1, 6))) for _ in range(40)] for name, letters in (("a", "abcd"), ("b", "bcdé"), ("c", "語d"))}
+    parser = language_id.CrossParser(learned | {"d": []})
+    words = ["", "1", "a1b", "ab-cd", "'語'dé", "xyz", "a" * 64, "ab" * 40 + "-" + "c" * 300, "\U00020000a"]
+    words += ["".join(random.choices("abcdé語x-1", k=random.randint(1, 80))) for _ in range(500)]
+    for word, costs in zip(words, parser.costs(words).tolist(), strict=True):
+        parts = re.findall(r"[^\W\d_]+", word)
+        assert costs[0] == sum(map(len, parts))
+        assert costs[1:] == [sum(automaton.phrases(f" {part} ") for part in parts) for automaton in parser.automata]
+    assert parser.costs([]).shape == (0, 5)
+
+
 def test_language_of_odd_rows(odd, none):
     found = language_id.identify(odd, {"en": ["same", "text", "the", "words"], "fr": ["deux", "trois", "un"]}).collect()
     assert len(found) == odd.count()
