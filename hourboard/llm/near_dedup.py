@@ -264,7 +264,8 @@ def rooted(sets: DataFrame, count: int) -> DataFrame:
 def bridged(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """``(a, b)``: labels linked with those sets in large ``nodes`` (``path, id, label, top, n``) that have not the ``top`` label.
 
-    They are sent to all blocks of the node, and each is linked to one set of a block that is likely to be alike.
+    They are sent to all blocks of the node, and in each linked to one set that is likely to be alike, unless other links
+    of the block connect the two; so a block has fewer links than guests and one.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.array(F.pmod(F.xxhash64("id"), blocks))
@@ -278,12 +279,16 @@ def bridged(nodes: DataFrame, sets: DataFrame) -> DataFrame:
         for block in grouped(batches, 2):
             labels, guests = block.column("label").to_numpy(), int(pc.sum(block.column("guest").cast("int64")).as_py())
             values = np.array([np.frombuffer(x, np.uint32) for x in block.column("sketch").to_pylist()])
+            # All blocks have the guests, so these are compared with each other in the first alone.
+            among, joined = block.column("block")[0].as_py() == 0, labels.copy()
             a, b = [], []
             for k in range(guests):
                 near = np.flatnonzero((values[k + 1 :] == values[k]).sum(axis=1) >= AGREEING) + k + 1
-                near = np.concatenate([near[near < guests], near[near >= guests][:1]])
-                a += [labels[k]] * len(near)
-                b += labels[near].tolist()
+                for other in [*(near[near < guests] if among else []), *near[near >= guests][:1]]:
+                    if joined[other] != joined[k]:
+                        a.append(labels[k])
+                        b.append(labels[other])
+                        joined[joined == joined[other]] = joined[k]
             yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     parts = shuffle_partitions(nodes.sparkSession)

@@ -405,6 +405,22 @@ def test_near_dedup_of_large_groups(monkeypatch, spark):
     check_near(near_dedup.near_dedup(docs, 85, 3).collect(), rows, 85, 3)
 
 
+def test_bridges_are_no_more_than_connect_a_block(monkeypatch, spark):
+    """Sets of other labels that are all alike: one link each a block, not one for each pair."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    guests, n = 20, 68
+    own = np.arange(near_dedup.TOKENS, dtype=np.uint32).tobytes()
+    nodes = [(7, i, i if i < guests else 1000, 1000, n) for i in range(n)]
+    nodes = spark.createDataFrame(nodes, "path long, id long, label long, top long, n long")
+    sets = spark.createDataFrame([(i, own) for i in range(n)], "id long, sketch binary")
+    links = [tuple(r) for r in near_dedup.bridged(nodes, sets).collect()]
+    assert len(links) <= guests * 5
+    reached, wider = set(), {1000}
+    while wider != reached:
+        reached, wider = wider, wider | {x for link in links for x in link if wider & set(link)}
+    assert reached == {*range(guests), 1000}
+
+
 @pytest.mark.parametrize("threshold", [0.8, 0.85])
 def test_trees_miss_fewer_than_one_in_a_thousand(monkeypatch, spark, threshold):
     """By simulated trees of pairs at the threshold, and as many trees as the candidates are looked for in."""
