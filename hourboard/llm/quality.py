@@ -1,7 +1,7 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over characters, and language-specific thresholds.
 
-The model is fitted on trusted text, which labels name: a bounded sample of MAX_TRAIN documents of one
-half of the trusted ones. It counts n-grams of ORDER characters (digits alike, white space as one
+The model is fitted on trusted text, which labels name: all documents of one half of the trusted ones, by a
+hash of the id; the other half sets the thresholds. It counts n-grams of ORDER characters (digits alike, white space as one
 space); counts of lower orders are numbers of distinct continuations, and there are three discounts
 an order, as modified Kneser-Ney smoothing has it.
 
@@ -37,7 +37,6 @@ from hourboard.llm.shared import read, stored
 from hourboard.llm.word_ids import slices
 
 ORDER = 4
-MAX_TRAIN = 20_000
 SHARD_DOCS = 8192
 #: The share of held-out trusted documents within the threshold, and what it is multiplied by.
 QUANTILE, MARGIN = 0.995, 1.1
@@ -240,8 +239,7 @@ def quality(
         rows = stored(rows, "documents")  # shards have to be the same in both readings
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     learns = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
-    sample = trusted.where(learns).orderBy(F.xxhash64("id", F.lit("train")), "id").limit(MAX_TRAIN)
-    counts = stored(counted(rows.join(F.broadcast(sample), "id", "left_semi")), "counts")
+    counts = stored(counted(rows.where(learns).join(trusted.where(learns), "id", "left_semi")), "counts")
     perplexities = stored(
         scored(rows, counts).withColumn(
             "perplexity", F.when(F.col("n_scored") > 0, F.exp(-F.col("log_p") / F.col("n_scored")))
