@@ -237,7 +237,7 @@ def quality(
     )
     if "Exchange" in rows._jdf.queryExecution().executedPlan().toString():
         rows = stored(rows, "documents")  # shards have to be the same in both readings
-    trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
+    trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("id")).distinct()
     learns = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
     counts = stored(counted(rows.where(learns).join(trusted.where(learns), "id", "left_semi")), "counts")
     perplexities = stored(

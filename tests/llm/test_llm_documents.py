@@ -459,13 +459,14 @@ def test_near_dedup_query(spark, small):
 # Quality
 
 
-def test_quality_learns_from_all_of_one_half(monkeypatch, spark):
+@pytest.mark.parametrize("kind", ["bigint", "int"])
+def test_quality_learns_from_all_of_one_half(monkeypatch, spark, kind):
     learned = []
     counted = quality.counted
     monkeypatch.setattr(quality, "counted", lambda docs: learned.append(docs.select("id").collect()) or counted(docs))
     docs = spark.range(50_000).selectExpr("id AS doc_id", "'en' AS lang", "'a b' AS text")
     labels = spark.range(49_000).selectExpr("id AS doc_id", "1 AS quality")
-    quality.quality(docs, labels)
+    quality.quality(docs, labels.selectExpr(f"cast(doc_id AS {kind}) AS doc_id", "quality"))
     halves = labels.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) AS half").where("half = 0").collect()
     assert sorted(r.id for r in learned[0]) == sorted(r.doc_id for r in halves) and len(halves) > 20_000
 
