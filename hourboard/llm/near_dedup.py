@@ -6,13 +6,15 @@ node; in each node every set chooses, by a hash of the path so far and the token
 its tokens, and goes to the child of each. Nodes of at most SMALL sets are compared exhaustively,
 by the share of their minwise tokens that agree, and larger ones branch again. A node that is still
 larger at DEPTH (copies of one text, mostly) is taken as linked throughout, for the next step to tell
-apart. There are as many independent trees (:func:`trees`) as bring the chance below MISSED that a pair
+apart. Where large nodes are few (:data:`AT_LAST`), all pairs in them are compared and the trees end there. There are as many independent trees (:func:`trees`) as bring the chance below MISSED that a pair
 at the threshold, alike in as many tokens as chance has it, shares no node at DEPTH. Pairs that meet in a
 small node earlier, or are more alike, are missed less. What all trees miss is not found otherwise.
 
-Copies of one text would stay together through all levels of all trees. So FIRST_TREES trees of
-FIRST_DEPTH levels are looked at first for large nodes alone; what is there is compared in blocks, and the
-components of the links that full sets confirm are labels. From then on a node of one label is done with, and so is a
+Copies of one text, and texts that are alike but less than the threshold, would stay together through many levels of
+all trees. So FIRST_TREES trees of FIRST_DEPTH levels are looked at first for large nodes alone. Sets that these connect
+are a cluster, or those of one node where that would be too many. In a cluster of at most :func:`complete` sets each is
+compared with all others, block by block, and the cluster is a group; what is larger is compared within blocks, and the
+components of the links that full sets confirm are labels and groups. From then on a node of one group is done with, and so is a
 large one in which all but SMALL sets have the same: these few are compared with all others, in blocks.
 
 What the trees link are candidates only. Their components are small; each brings its full sets
@@ -54,6 +56,8 @@ HASHED_BYTES = 1 << 20
 SMALL, BLOCK = 64, 256
 #: Trees and levels of the first look at large nodes, and the sets of a component that all its blocks have.
 FIRST_TREES, FIRST_DEPTH, PILOTS = 4, 2, 16
+#: Rows for each set that comparing all large nodes throughout may deal out, to end the trees at a level.
+AT_LAST = 4
 #: Links that a task thins out at once.
 THINNED = 1 << 16
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -176,7 +180,7 @@ def tokens_of(column: pa.Array) -> np.ndarray:
 
 
 def branches(nodes: DataFrame, threshold: float) -> DataFrame:
-    """``(id, path, label)`` of the children of ``nodes`` (``id``, ``path``, ``sketch``, ``label``)."""
+    """``(id, path, label, group)`` of the children of ``nodes`` (``id``, ``path``, ``sketch``, ``label``, ``group``)."""
     limit = np.uint64(int(2**64 / (threshold * TOKENS)))
 
     def run(batches):
@@ -186,9 +190,10 @@ def branches(nodes: DataFrame, threshold: float) -> DataFrame:
             rows, at = np.nonzero(chosen < limit)
             children = mixed(chosen[rows, at] + STEP).view(np.int64)
             rows = pa.array(rows)
-            yield pa.record_batch({"id": batch.column(0).take(rows), "path": pa.array(children), "label": batch.column(3).take(rows)})
+            ids, labels, groups = (batch.column(k).take(rows) for k in (0, 3, 4))
+            yield pa.record_batch({"id": ids, "path": pa.array(children), "label": labels, "group": groups})
 
-    return nodes.select("id", "path", "sketch", "label").mapInArrow(run, "id long, path long, label long")
+    return nodes.select("id", "path", "sketch", "label", "group").mapInArrow(run, "id long, path long, label long, group long")
 
 
 def grouped(batches, keys: int):
@@ -262,14 +267,14 @@ def rooted(sets: DataFrame, count: int) -> DataFrame:
 
 
 def bridged(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(a, b)``: labels linked with those sets in large ``nodes`` (``path, id, label, top, n``) that have not the ``top`` label.
+    """``(a, b)``: labels linked with those sets in large ``nodes`` (``path, id, label, group, top, n``) not of the ``top`` group.
 
-    They are sent to all blocks of the node, and in each linked to one set that is likely to be alike, unless other links
+    Without groups, labels are groups. They are sent to all blocks of the node, and in each linked to one set that is likely to be alike, unless other links
     of the block connect the two; so a block has fewer links than guests and one.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.array(F.pmod(F.xxhash64("id"), blocks))
-    guest = F.col("label") != F.col("top")
+    guest = F.col("group" if "group" in nodes.columns else "label") != F.col("top")
     dealt = nodes.select(
         "path", F.explode(F.when(guest, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own)).alias("block"),
         "id", "label", guest.alias("guest"),
@@ -296,38 +301,77 @@ def bridged(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("path", "block", F.desc("guest"), "id").mapInArrow(run, "a long, b long")
 
 
+def compared_throughout(members: DataFrame) -> DataFrame:
+    """``(a, b)``: labels linked so that all sets of a cluster (``cluster, n, id, label, sketch``) that are likely to be alike are connected.
+
+    Each two blocks of a cluster meet, and each block meets itself.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = members.select(
+        "cluster", F.pmod(F.xxhash64("id"), blocks).alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"), "id", "label", "sketch",
+    ).select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "label", "sketch")
+
+    def run(batches):
+        for pair in grouped(batches, 3):
+            joined = pair.column("label").to_numpy().copy()
+            values = np.array([np.frombuffer(x, np.uint32) for x in pair.column("sketch").to_pylist()])
+            low, high, block = (pair.column(k).to_numpy() for k in ("low", "high", "block"))
+            firsts = int((block == low).sum())
+            a, b = [], []
+            for k in range(firsts):
+                start = k + 1 if low[0] == high[0] else firsts
+                near = np.flatnonzero((values[start:] == values[k]).sum(axis=1) >= AGREEING) + start
+                for own in np.setdiff1d(joined[near], joined[k : k + 1]):
+                    a.append(joined[k])
+                    b.append(own)
+                    joined[joined == own] = joined[k]
+            yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    parts = shuffle_partitions(members.sparkSession)
+    dealt = dealt.repartition(parts, "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "block", "id")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def candidates(sets: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: labels linked so that all ``sets`` (``id, sketch, label``) that are likely to be alike are connected.
+    """``(a, b)``: labels linked so that all ``sets`` (``id, sketch, label, group``) that are likely to be alike are connected.
 
-    Without labels, each set is its own.
+    Sets of one group are not compared again. Without labels, each set is its own; without groups, labels are groups.
     """
     if "label" not in sets.columns:
         sets = sets.withColumn("label", F.col("id"))
+    if "group" not in sets.columns:
+        sets = sets.withColumn("group", F.col("label"))
     roots = rooted(sets, trees(threshold))
-    found = None
+    found, count = None, sets.count()
     for depth in range(1, DEPTH + 1):
         children = branches(roots, threshold)
         if "label" not in children.columns:
-            children = children.withColumn("label", F.col("id"))
+            children = children.withColumns({"label": F.col("id"), "group": F.col("id")})
         children = stored(children, "paths")
-        sizes = children.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        sizes = children.groupBy("path").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high"))
         sizes = stored(sizes.where("n > 1 and low <> high").select("path", "n"), "nodes")
         members = children.join(sizes, "path")
         small = members.where(F.col("n") <= SMALL).select("id", "path").join(sets, "id")
         large = stored(members.where(F.col("n") > SMALL), "large")
-        tops = large.groupBy("path", "n", "label").agg(F.count("*").alias("c")).groupBy("path", "n")
-        tops = tops.agg(F.max_by("label", "c").alias("top"), (F.col("n") - F.max("c")).alias("others"))
-        tops = stored(tops.select("path", "top", "others"), "tops")
-        few = large.join(tops.where(F.col("others") <= SMALL), "path")
+        tops = large.groupBy("path", "n", "group").agg(F.count("*").alias("c")).groupBy("path", "n")
+        tops = tops.agg(F.max_by("group", "c").alias("top"), (F.col("n") - F.max("c")).alias("others"))
+        tops = stored(tops.select("path", "top", "others", (F.col("n") * F.ceil(F.col("n") / BLOCK)).alias("dealt")), "tops")
+        few = large.join(tops.where(F.col("others") <= SMALL).drop("dealt"), "path")
         links = compared(small).unionByName(bridged(few, sets))
-        large = large.join(tops.where(F.col("others") > SMALL), "path")
-        if depth == DEPTH:
+        large = large.join(tops.where(F.col("others") > SMALL).select("path"), "path")
+        dealt = tops.where(F.col("others") > SMALL).agg(F.sum("dealt")).first()[0] or 0
+        last = dealt <= AT_LAST * count
+        if dealt and last:
+            rest = large.select(F.col("path").alias("cluster"), "n", "id", "label").join(sets.select("id", "sketch"), "id")
+            links = links.unionByName(compared_throughout(rest))
+        elif depth == DEPTH:
             held = large.select("path", "label").distinct()
             firsts = held.groupBy("path").agg(F.min("label").alias("a"))
             links = links.unionByName(held.join(firsts, "path").select("a", F.col("label").alias("b")))
         links = stored(links.where("a <> b").distinct(), "candidates")
         found = links if found is None else found.unionByName(links)
-        if not tops.where(F.col("others") > SMALL).limit(1).count():
+        if last:
             break
         roots = large.select("id", "path").join(sets, "id")
     return found
@@ -429,6 +473,22 @@ def thinned(links: DataFrame) -> DataFrame:
     return stored(links.select("a", "b").repartition(tasks).mapInArrow(run, "a long, b long"), "thinned")
 
 
+def gathered(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id, component)`` of all ``nodes``, as :func:`components` gives it.
+
+    Links are thinned while that helps; where a last task had all that were left, each end has its component.
+    """
+    count = links.count()
+    while True:
+        links, before = thinned(links), count
+        if before <= THINNED:
+            ends = links.select(F.col("b").alias("id"), F.col("a").alias("component"))
+            return nodes.join(ends, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        count = links.count()
+        if 2 * count > before:
+            return components(nodes, links)
+
+
 def placed_in_blocks(docs: DataFrame, near: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """``(id, cluster, label, blocks, block, shingles)`` of ``near`` (``id, cluster, label``)."""
     sizes = near.groupBy("cluster").agg(F.count("*").alias("n"))
@@ -453,27 +513,55 @@ def linked_in_blocks(members: DataFrame, percent: int) -> DataFrame:
     return stored(confirmed(home, percent, ["cluster", "block"], False), "links")
 
 
-def joined_copies(docs: DataFrame, sets: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``sets`` with the ``label`` that the confirmed links among sets of large nodes give, else their own id.
+def complete(threshold: float) -> int:
+    """The sets of a cluster up to which comparing all deals each to no more blocks than a level of the trees has nodes of it."""
+    return BLOCK * trees(threshold)
 
-    Each set is compared in one node only, so this finds the links of many copies, not all.
-    """
-    threshold = percent / 100
-    sets = sets.withColumn("label", F.col("id"))
+
+def first_clusters(sets: DataFrame, threshold: float) -> DataFrame | None:
+    """``(id, cluster, n)`` of the sets in large nodes of the first trees, ``n`` those of the cluster; none without such nodes."""
     roots = rooted(sets, FIRST_TREES)
     for _ in range(FIRST_DEPTH):
         children = stored(branches(roots, threshold), "paths")
-        sizes = children.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > SMALL)
-        large = stored(children.join(sizes, "path"), "large")
+        sizes = children.groupBy("path").agg(F.count("*").alias("n"), F.min("id").alias("least")).where(F.col("n") > SMALL)
+        large = stored(children.join(sizes, "path").select("id", "path", "n", "least"), "large")
         if not large.limit(1).count():
-            return sets
+            return None
         roots = large.select("id", "path").join(sets, "id")
-    largest = F.max(F.struct("n", "path")).alias("node")
-    near = large.groupBy("id", "label").agg(largest).select("id", F.col("node.path").alias("cluster"), "label")
-    links = thinned(linked_in_blocks(placed_in_blocks(docs, stored(near, "first"), width, id_col, text_col), percent))
-    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    labels = components(ends, links).withColumnRenamed("component", "label")
-    return stored(sets.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled")
+    ways = large.select(F.col("least").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
+    held = large.groupBy("id").agg(F.max(F.struct("n", "path")).alias("node"))
+    held = stored(held.join(gathered(held.select("id"), stored(ways, "ways")), "id"), "held")
+    sizes = held.groupBy("component").agg(F.count("*").alias("n"))
+    held = held.join(sizes, "component").select(
+        "id", F.when(F.col("n") <= complete(threshold), F.col("component")).otherwise(F.col("node.path")).alias("cluster")
+    )
+    sizes = held.groupBy("cluster").agg(F.count("*").alias("n"))
+    return stored(held.join(sizes, "cluster").select("id", "cluster", "n"), "first")
+
+
+def joined_copies(
+    docs: DataFrame, sets: DataFrame, percent: int, width: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """``sets`` with ``label`` and ``group``, and the links ``(a, b)`` of labels that were found within groups.
+
+    Sets of one group have been compared with each other throughout, or are connected by links that full sets confirm, which
+    give them one label. Other sets have their own id as label and group.
+    """
+    sets = sets.withColumns({"label": F.col("id"), "group": F.col("id")})
+    first = first_clusters(sets.select("id", "sketch", "label", "group"), percent / 100)
+    if first is None:
+        return sets, None
+    whole = F.col("n") <= complete(percent / 100)
+    found = stored(compared_throughout(first.where(whole).join(sets.select("id", "label", "sketch"), "id")), "throughout")
+    least = first.where(whole).groupBy("cluster").agg(F.min("id").alias("group"))
+    known = first.where(whole).join(least, "cluster").select("id", F.col("id").alias("label"), "group")
+    near = first.where(~whole).select("id", "cluster", F.col("id").alias("label"))
+    if near.limit(1).count():
+        links = linked_in_blocks(placed_in_blocks(docs, near, width, id_col, text_col), percent)
+        labels = gathered(near.select("id"), links).withColumnRenamed("component", "label")
+        known = known.unionByName(labels.withColumn("group", F.col("label")))
+    sets = sets.select("id", "sketch").join(known, "id", "left")
+    return stored(sets.withColumns({k: F.coalesce(k, "id") for k in ("label", "group")}), "labelled"), found
 
 
 def by_label(frame: DataFrame, found: DataFrame) -> DataFrame:
@@ -487,9 +575,10 @@ def linked_components(
     docs: DataFrame, sets: DataFrame, percent: int, width: int, id_col: str, text_col: str
 ) -> DataFrame:
     """``(id, component)`` of distinct ``sets`` (``id``, ``sketch``). Links are of labels throughout."""
-    sets = joined_copies(docs, sets, percent, width, id_col, text_col)
-    maybe = thinned(candidates(sets, percent / 100))
-    near = components(maybe.select(F.col("a").alias("id")).union(maybe.select("b")).distinct(), maybe)
+    sets, within = joined_copies(docs, sets, percent, width, id_col, text_col)
+    maybe = candidates(sets, percent / 100)
+    maybe = maybe if within is None else maybe.unionByName(within)
+    near = gathered(maybe.select(F.col("a").alias("id")).union(maybe.select("b")).distinct(), maybe)
     near = by_label(sets.select("id", "label"), near.withColumnRenamed("component", "cluster"))
     members = placed_in_blocks(docs, stored(near.select("id", "cluster", "label"), "clusters"), width, id_col, text_col)
     links = thinned(linked_in_blocks(members, percent))
@@ -498,7 +587,7 @@ def linked_components(
     if wide.limit(1).count():
         held = wide.select(F.col("label").alias("id")).distinct()
         inner = links.join(held.withColumnRenamed("id", "a"), "a", "left_semi")
-        joined = components(held, inner).withColumnRenamed("component", "joined")
+        joined = gathered(held, inner).withColumnRenamed("component", "joined")
         at_home = by_label(wide, joined).drop("label").withColumnRenamed("joined", "label").withColumn("guest", F.lit(0))
         # What is not connected with most of its cluster goes round, in blocks of its own.
         counts = at_home.groupBy("cluster", "label").agg(F.count("*").alias("c")).groupBy("cluster")
@@ -511,7 +600,7 @@ def linked_components(
         at_home = at_home.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
         round_ = confirmed(at_home.unionByName(away), percent, ["cluster", "block", "part"], True)
         links = links.unionByName(stored(round_, "links"))
-    found = components(sets.select(F.col("label").alias("id")).distinct(), links)
+    found = gathered(sets.select(F.col("label").alias("id")).distinct(), links)
     return by_label(sets.select("id", "label"), found).select("id", "component")
 
 

@@ -421,6 +421,38 @@ def test_bridges_are_no_more_than_connect_a_block(monkeypatch, spark):
     assert reached == {*range(guests), 1000}
 
 
+def similar_sets(spark, agreeing, n):
+    """Sketches of ``n`` sets that agree in ``agreeing`` tokens, each two of them."""
+    own = lambda k: np.array([*range(agreeing), *[1000 + 64 * k + x for x in range(near_dedup.TOKENS - agreeing)]], np.uint32)
+    return spark.createDataFrame([(k, own(k).tobytes()) for k in range(n)], "id long, sketch binary")
+
+
+@pytest.mark.parametrize("agreeing", [37, 38])
+def test_sets_alike_below_the_threshold_end_the_trees(monkeypatch, spark, agreeing):
+    """Sets of a large group go through one level of the trees, not through all; each two of them are compared before."""
+    sets = similar_sets(spark, agreeing, 600)
+    levels = []
+    branches = near_dedup.branches
+    sets, within = near_dedup.joined_copies(None, sets, 80, 5, "doc_id", "text")
+    monkeypatch.setattr(near_dedup, "branches", lambda *a: levels.append(a[0].count()) or branches(*a))
+    assert sets.select("group").distinct().count() == 1 and sets.select("label").distinct().count() == 600
+    links = [tuple(r) for r in near_dedup.candidates(sets, 0.8).unionByName(within).collect()]
+    assert len(levels) == 1
+    reached, wider = set(), {0}
+    while wider != reached:
+        reached, wider = wider, wider | {x for link in links for x in link if wider & set(link)}
+    assert len(reached) == (600 if agreeing >= near_dedup.AGREEING else 1)
+
+
+@pytest.mark.parametrize("at_once", [4, 1 << 16])
+def test_components_of_thinned_links(monkeypatch, spark, at_once):
+    monkeypatch.setattr(near_dedup, "THINNED", at_once)
+    nodes = spark.createDataFrame([(k,) for k in range(14)], "id long")
+    links = spark.createDataFrame([*[(k + 1, k) for k in range(9)], (11, 12), (12, 11)], "a long, b long")
+    found = dict(map(tuple, near_dedup.gathered(nodes, links).collect()))
+    assert found == {**dict.fromkeys(range(10), 0), 10: 10, 11: 11, 12: 11, 13: 13}
+
+
 @pytest.mark.parametrize("threshold", [0.8, 0.85])
 def test_trees_miss_fewer_than_one_in_a_thousand(monkeypatch, spark, threshold):
     """By simulated trees of pairs at the threshold, and as many trees as the candidates are looked for in."""
