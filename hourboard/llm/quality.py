@@ -46,6 +46,8 @@ EVIDENCE = 20.0
 #: Characters whose n-grams are held at once, if of more than one text.
 AT_ONCE = 1 << 20
 BITS = 16
+#: Bits for each id of a filter of ids, and its 64-bit words at most.
+FILTER_BITS, FILTER_WORDS = 16, 1 << 17
 START, END = 2, 3
 
 CODES = np.arange(1 << BITS, dtype=np.uint16)
@@ -150,6 +152,23 @@ def log_probabilities(counts: DataFrame, grams: DataFrame) -> DataFrame:
     return found.select("gram", F.ln("p").alias("log_p"))
 
 
+def likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``id`` is among ``ids`` (``id``, no nulls), and a few others, about one in FILTER_BITS.
+
+    By a bitmap of hashes of a bounded size, so that the texts of other rows need not be moved to meet the ids. With more
+    ids than it is made for more other rows stay.
+    """
+    words = min(FILTER_WORDS, ids.count() * FILTER_BITS // 64 + 1)
+    place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64 * words))
+    bits = ids.select(F.floor(place / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit"))
+    bits = bits.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    bits = ids.sparkSession.range(words).select(F.col("id").alias("word")).join(bits, "word", "left")
+    bits = bits.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("bits"))
+    bitmap = stored(bits.select(F.transform("bits", lambda x: x["bits"]).alias("bitmap")), "bitmap")
+    bit = F.bit_get(F.element_at("bitmap", (F.floor(place / 64) + 1).cast("int")), (place % 64).cast("int"))
+    return rows.join(F.broadcast(bitmap), bit == 1, "left_semi")
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """For counts of one, two, and three or more, from how many n-grams have counts of one to four."""
     if not min(n1, n2, n3, n4):
@@ -239,7 +258,8 @@ def quality(
         rows = stored(rows, "documents")  # shards have to be the same in both readings
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("id")).distinct()
     learns = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
-    counts = stored(counted(rows.where(learns).join(trusted.where(learns), "id", "left_semi")), "counts")
+    teachers = stored(trusted.where(learns), "teachers")
+    counts = stored(counted(likely(rows.where(learns), teachers).join(teachers, "id", "left_semi")), "counts")
     perplexities = stored(
         scored(rows, counts).withColumn(
             "perplexity", F.when(F.col("n_scored") > 0, F.exp(-F.col("log_p") / F.col("n_scored")))

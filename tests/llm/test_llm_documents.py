@@ -503,6 +503,15 @@ def test_quality_learns_from_all_of_one_half(monkeypatch, spark, kind):
     assert sorted(r.id for r in learned[0]) == sorted(r.doc_id for r in halves) and len(halves) > 20_000
 
 
+def test_texts_of_others_do_not_move_to_meet_the_ids(spark):
+    rows = spark.range(-500, 40_000).selectExpr("id", "'a b' AS text")
+    ids = spark.range(-500, 40_000, 50)
+    left = {r.id for r in quality.likely(rows, ids).collect()}
+    wanted = {r.id for r in ids.collect()}
+    assert wanted <= left and len(left - wanted) < 40_500 / 8
+    assert quality.likely(rows, ids.limit(0)).count() == 0
+
+
 def test_grams():
     grams, counts = quality.grams_of(["a1", "", " \n\tb"])
     code = lambda *cs: sum(ord(c) << (16 * k) for k, c in enumerate(reversed(cs)))
