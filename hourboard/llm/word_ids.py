@@ -10,15 +10,45 @@ import pyarrow.compute as pc
 
 #: Rows whose words are held at once.
 SLICE_ROWS = 4096
-#: Words whose ids a worker remembers; beyond that it starts over.
-MAX_WORDS = 1_500_000
-WORDS_A_CALL = 20_000
+#: Bytes of texts that are cut into words at once; a longer text is by itself.
+BLOCK_BYTES = 4 << 20
+#: Words whose ids a worker has at hand; beyond that it starts over, with those that it meets again out of the last ones.
+MAX_WORDS = 250_000
+#: Words given to the library, and words whose ids are put on end, at once.
+WORDS_A_CALL = 5000
 #: What often follows a word; such words share the ids of the word alone.
 MARKS = (".", ",")
 
 
+class Words:
+    """The ids of distinct words, on end in one pool."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        self.starts = np.zeros(1 << 14, np.int64)
+        self.lengths = np.zeros(1 << 14, np.int64)
+        self.keep([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        place = len(self.places)
+        self.pool = roomy(self.pool, self.used + len(ids))
+        self.starts, self.lengths = roomy(self.starts, place + len(words)), roomy(self.lengths, place + len(words))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.starts[place : place + len(words)] = self.used + np.cumsum(counts) - counts
+        self.lengths[place : place + len(words)] = counts
+        self.places.update(zip(words, range(place, place + len(words)), strict=True))
+        self.used += len(ids)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``words``, all of them kept, on end, and how many each has."""
+        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        return gathered(self.pool, self.starts, self.lengths, at)
+
+
 class WordEncoder:
-    """Encodes texts with the tokenizers library, each distinct word once.
+    """Encodes texts with the tokenizers library, and words that return with ids it remembers.
 
     The vocabulary's pre-tokenizer drops white space and its tokens end with ``</w>``, so the ids
     of a text are those of its words in turn. Words are cut at ASCII white space and A-Z are
@@ -36,19 +66,18 @@ class WordEncoder:
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.pool = np.zeros(1 << 20, np.uint32)
-        self.used = 0
-        self.starts = np.zeros(1 << 18, np.int64)
-        self.lengths = np.zeros(1 << 18, np.int64)
-        self._keep([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        self.words, self.last = Words(), Words()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts`` on end, and how many each text has; null counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        blocks = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // BLOCK_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(texts)]
+        ids, counts = zip(*(self._of_texts(texts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)), strict=True)
+        pa.default_memory_pool().release_unused()  # it keeps what it held at the most, for as long as the worker lives
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         marked = pc.match_substring_regex(texts, r"\p{M}").to_numpy(zero_copy_only=False)
         words = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(marked), "", texts)))
         flat = words.flatten().dictionary_encode()
@@ -68,30 +97,36 @@ class WordEncoder:
         return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
     def _of_words(self, flat: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
-        stems, marks = [], []
+        stems = []  # each word without its mark, and the mark
         for word in flat.dictionary.to_pylist():
             if word[-1:] in MARKS and word[:-1].isalpha():
-                stems.append(word[:-1])
-                marks.append(word[-1])
+                stems += word[:-1], word[-1]
             else:
-                stems.append(word)
-                marks.append("")
-        if len(self.places) + len(stems) > MAX_WORDS:
-            self._forget()
-        self._learn(list({w for w in stems if w not in self.places}.union(m for m in MARKS if m not in self.places)))
-        places = np.empty((len(stems), 2), np.int64)
-        places[:, 0] = np.fromiter(map(self.places.__getitem__, stems), np.int64, len(stems))
-        places[:, 1] = np.fromiter(map(self.places.__getitem__, marks), np.int64, len(stems))
-        own, counts = gathered(self.pool, self.starts[places.ravel()], self.lengths[places.ravel()])
+                stems += word, ""
+        self._know({*stems, *MARKS})
+        own, counts = self.words.ids(stems)
         counts = counts.reshape(-1, 2).sum(1)
-        at = flat.indices.to_numpy()
-        return gathered(own, (np.cumsum(counts) - counts)[at], counts[at])
+        return gathered(own, np.cumsum(counts) - counts, counts, flat.indices.to_numpy())
+
+    def _know(self, words: set[str]) -> None:
+        """Has the ids of all ``words`` at hand."""
+        new = [w for w in words if w not in self.words.places]
+        if len(self.words.places) + len(new) > MAX_WORDS:
+            self.last, self.words = self.words, Words()
+            new = [w for w in words if w not in self.words.places]
+        again = [w for w in new if w in self.last.places]
+        self.words.keep(again, *self.last.ids(again))
+        self._learn([w for w in new if w not in self.last.places])
 
     def _learn(self, words: list[str]) -> None:
         self._learn_whole([w for w in words if w.isalpha()])
         rest = [w for w in words if not w.isalpha()]
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-        self._keep(rest, np.array([i for x in found for i in x], np.uint32), np.array(list(map(len, found)), np.int64))
+        for at in range(0, len(rest), WORDS_A_CALL):
+            self.words.keep(rest[at : at + WORDS_A_CALL], *self._each(rest[at : at + WORDS_A_CALL]))
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array(list(map(len, found)), np.int64)
 
     def _learn_whole(self, words: list[str]) -> None:
         """Words of letters only are one pre-token each: the last id of each of these words is the one that ends with ``</w>``."""
@@ -100,27 +135,22 @@ class WordEncoder:
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
             counts = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
             if len(counts) != len(some):  # some letter of Python's is none of the library's
-                found = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-                ids = np.array([i for x in found for i in x], np.uint32)
-                counts = np.array(list(map(len, found)), np.int64)
-            self._keep(some, ids, counts)
-
-    def _keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        place = len(self.places)
-        self.pool = roomy(self.pool, self.used + len(ids))
-        self.starts, self.lengths = roomy(self.starts, place + len(words)), roomy(self.lengths, place + len(words))
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.starts[place : place + len(words)] = self.used + np.cumsum(counts) - counts
-        self.lengths[place : place + len(words)] = counts
-        self.places.update(zip(words, range(place, place + len(words)), strict=True))
-        self.used += len(ids)
-
-
-def gathered(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stretches of ``pool`` that begin at ``starts``, on end, and their lengths."""
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts - ends + counts, counts) + np.arange(total)], counts
+                ids, counts = self._each(some)
+            self.words.keep(some, ids, counts)
+
+
+def gathered(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``at`` of ``pool``, on end, and their lengths."""
+    lengths = counts[at]
+    found = np.empty(int(lengths.sum()), pool.dtype)
+    filled = 0
+    for some in range(0, len(at), WORDS_A_CALL):
+        n = lengths[some : some + WORDS_A_CALL]
+        ends = np.cumsum(n)
+        total = int(ends[-1])
+        found[filled : filled + total] = pool[np.repeat(starts[at[some : some + WORDS_A_CALL]] - ends + n, n) + np.arange(total)]
+        filled += total
+    return found, lengths
 
 
 def roomy(values: np.ndarray, size: int) -> np.ndarray:

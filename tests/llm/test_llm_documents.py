@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -123,6 +124,38 @@ def test_word_ids_after_forgetting(monkeypatch, small, tokenizer):
         assert encoder.encode(pa.array([text]))[0].tolist() == word_tokens(tokenizer, text)
 
 
+def test_word_ids_by_small_blocks(monkeypatch, odd, small, tokenizer):
+    monkeypatch.setattr(word_ids, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(word_ids, "WORDS_A_CALL", 7)
+    texts = [r.text for r in odd.collect()] + [text for _, text, _ in small[:40]]
+    ids, counts = word_ids.WordEncoder(WORDS).encode(pa.array(texts, pa.string()))
+    expected = [word_tokens(tokenizer, t) for t in texts]
+    assert counts.tolist() == list(map(len, expected))
+    assert ids.tolist() == [i for x in expected for i in x]
+
+
+def test_word_ids_remember_words_that_return(monkeypatch):
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 300)
+    encoder, learned = word_ids.WordEncoder(WORDS), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learned.extend(words), learn(words)))
+    for turn in range(20):
+        encoder.encode(pa.array([" ".join(["returning", *(f"once{turn}x{i}" for i in range(100))])]))
+    assert learned.count("returning") == 1
+
+
+def test_word_ids_take_bounded_memory():
+    encoder, held = word_ids.WordEncoder(WORDS), []
+    tracemalloc.start()
+    try:
+        for turn in range(75):
+            encoder.encode(pa.array([" ".join(f"w{turn * 10_000 + i}" for i in range(10_000))]))
+            held.append(tracemalloc.get_traced_memory()[0])
+    finally:
+        tracemalloc.stop()
+    assert max(held) < 115 << 20
+
+
 # Token files
 
 
