@@ -41,10 +41,13 @@ class Words:
         self.places.update(zip(words, range(place, place + len(words)), strict=True))
         self.used += len(ids)
 
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of ``words``, all of them kept, on end, and how many each has."""
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        return gathered(self.pool, self.starts, self.lengths, at)
+    def at(self, words: list[str]) -> np.ndarray:
+        """The places of ``words``, all of them kept; the empty word's is 0."""
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at ``places``, on end, and how many each has."""
+        return gathered(self.pool, self.starts, self.lengths, places)
 
 
 class WordEncoder:
@@ -97,25 +100,28 @@ class WordEncoder:
         return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
     def _of_words(self, flat: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
-        stems = []  # each word without its mark, and the mark
-        for word in flat.dictionary.to_pylist():
-            if word[-1:] in MARKS and word[:-1].isalpha():
-                stems += word[:-1], word[-1]
-            else:
-                stems += word, ""
-        self._know({*stems, *MARKS})
-        own, counts = self.words.ids(stems)
+        stems, marked, marks = flat.dictionary.to_pylist(), [], []
+        for i, word in enumerate(stems):
+            if word.endswith(MARKS) and word[:-1].isalpha():
+                stems[i] = word[:-1]
+                marked.append(i)
+                marks.append(word[-1])
+        self._know([*stems, *MARKS])
+        places = np.zeros((len(stems), 2), np.int64)  # of each word and of its mark, or else of the empty word
+        places[:, 0] = self.words.at(stems)
+        places[marked, 1] = self.words.at(marks)
+        own, counts = self.words.ids(places.ravel())
         counts = counts.reshape(-1, 2).sum(1)
         return gathered(own, np.cumsum(counts) - counts, counts, flat.indices.to_numpy())
 
-    def _know(self, words: set[str]) -> None:
+    def _know(self, words: list[str]) -> None:
         """Has the ids of all ``words`` at hand."""
-        new = [w for w in words if w not in self.words.places]
+        new = {w for w in words if w not in self.words.places}
         if len(self.words.places) + len(new) > MAX_WORDS:
             self.last, self.words = self.words, Words()
-            new = [w for w in words if w not in self.words.places]
+            new = {w for w in words if w not in self.words.places}
         again = [w for w in new if w in self.last.places]
-        self.words.keep(again, *self.last.ids(again))
+        self.words.keep(again, *self.last.ids(self.last.at(again)))
         self._learn([w for w in new if w not in self.last.places])
 
     def _learn(self, words: list[str]) -> None:
