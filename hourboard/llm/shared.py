@@ -59,14 +59,26 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def join_unique(big: DataFrame, small: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+def shuffled(table: DataFrame) -> DataFrame:
+    """``table``, which the join it goes to never broadcasts: for tables that grow with the input.
+
+    What Spark compares with its limit for broadcasts is the size of the compressed files a table is made from, and
+    an ``explode`` does not add to it, so the table may be a hundred times as large in memory, the driver's as well.
+    """
+    return table.hint("merge")
+
+
+def join_unique(
+    big: DataFrame, small: DataFrame, keys: list[str], count: str, total: int, grows: bool = False
+) -> DataFrame:
     """Inner join to ``small``, which has one row per key and in ``count`` how many of ``total`` rows have it.
 
     Keys with over one row in :data:`HOT_SHARE` number fewer than that and are broadcast; the rest
-    have no hot key and are shuffled.
+    have no hot key and are shuffled, where Spark's limit says so or the table ``grows``.
     """
     hot = F.broadcast(small.where(F.col(count) * HOT_SHARE > total))
     cold = small.where(F.col(count) * HOT_SHARE <= total)
+    cold = shuffled(cold) if grows else cold
     few = big.join(hot, keys)
     many = big.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
     return few.unionByName(many)

@@ -8,12 +8,13 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import queries
 from hourboard.llm import html_text, url_filter, vector_join
 from hourboard.llm.queries import ORACLE
-from hourboard.llm.shared import components
+from hourboard.llm.shared import components, stored
 
 SMALL = "/root/testdata/sf0.001"
 PAGES = "page_id long, url string, html string, text string, host string, kind string, score string, id long"
@@ -121,6 +122,19 @@ def test_urls_of_odd_rows(spark):
     assert url_filter.url_filter(table.limit(0)).count() == 0
 
 
+def test_urls_are_not_broadcast(spark):
+    """Only scores by characters and those of hot urls are, whatever size Spark takes the other tables for."""
+    rows = [(k, f"http://a{k % 7}.{'com' if k % 3 else 'net'}/{'fr' if k % 2 else 'de'}/{k}") for k in range(40)]
+    texts = stored(spark.createDataFrame([(r[1],) for r in rows], "text string"), "texts")
+    seen = stored(url_filter.windows(texts).select("gram", F.lit(1).alias("yes"), F.lit(2).alias("no")).distinct(), "seen")
+    for frame, broadcast, merged in (
+        (url_filter.scores(texts, seen), 3, 9),
+        (url_filter.url_filter(stored(spark.createDataFrame(rows, "page_id long, url string"), "pages")), 2, 1),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert (plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")) == (broadcast, merged)
+
+
 # Main text
 
 
