@@ -11,7 +11,8 @@ of it is equal, and of the side with the edit one half is. So a gram is looked u
 and half of the other, in words of a length that differs by one at most. What that finds is confirmed by the edit
 distance.
 
-The only table held by every task are the counts of bigrams, at most 8,100 of an alphabet of 90 letters.
+The only table held by every task are the counts of bigrams, at most 8,100 of an alphabet of 90 letters. Joins
+shuffle both sides: a look-up table has twelve rows for one of the file it is made from.
 
 Defined results: null and empty texts have no words, a null id counts as an empty text in the rule
 that misspells. Repeated rows are counted as often as they are there. Other columns are not looked at; an empty
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourboard.llm.shared import on_workers, read, stored, text_or_empty
+from hourboard.llm.shared import on_workers, read, shuffled, stored, text_or_empty
 
 #: A run of letters.
 LETTERS = r"[A-Za-zÀ-ÿ]+"
@@ -146,7 +147,7 @@ def near_words(words: DataFrame) -> DataFrame:
     grams = stored(grams_of(words), "grams")
     pivots = keyed(grams.where("pivot"), "word", "n", "own", "other")
     prefixes = keyed(grams, "near", "near_n", "other", "own")
-    maybe = pivots.join(prefixes, ["key", "own", "other"]).where(
+    maybe = pivots.join(shuffled(prefixes), ["key", "own", "other"]).where(
         (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
     )
     one = maybe.select("word", "n", "near", "near_n")
@@ -162,7 +163,7 @@ def roots(forms: DataFrame) -> DataFrame:
     ups = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         nexts = ups.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        jumped = ups.join(nexts, "root", "left").select(
+        jumped = ups.join(shuffled(nexts), "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")
         )
         jumped = stored(jumped, "roots")
@@ -183,8 +184,8 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     )
     ends = roots(near.where(F.col("form").isNotNull()))
     return (
-        words.join(near, "word", "left")
-        .join(ends, "word", "left")
+        words.join(shuffled(near), "word", "left")
+        .join(shuffled(ends), "word", "left")
         .select(
             "word",
             "form",

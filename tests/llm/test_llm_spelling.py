@@ -105,3 +105,18 @@ def test_pivots_are_the_rarest_disjoint_pair_of_the_prefix(word):
     best = min(cost[p] + cost[q] for p in prefix for q in prefix if q - p >= 2)
     a, b = sorted(pivots)
     assert b - a >= 2 and cost[a] + cost[b] == best
+
+
+def test_words_are_not_broadcast(spark, monkeypatch):
+    """Neither what is looked up nor the words themselves, whatever size Spark takes them for."""
+    plans = []
+
+    def plan_of(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return frame
+
+    monkeypatch.setattr(spelling, "stored", lambda frame, name, stored=spelling.stored: stored(plan_of(frame), name))
+    words = spark.createDataFrame([("lantern", 900), ("lantrn", 100), ("lanern", 5), ("garden", 7)], "word string, n long")
+    found = plan_of(spelling.variants(words)).collect()
+    assert {r.word: r.root for r in found} == {"lantern": "lantern", "lantrn": "lantern", "lanern": "lantern", "garden": "garden"}
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
