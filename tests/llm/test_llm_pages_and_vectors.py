@@ -269,6 +269,35 @@ def test_vector_join(monkeypatch, spark, per_pivot, block, stride):
     assert vector_join.vector_join(table.limit(0)).count() == 0
 
 
+def test_vectors_are_not_replicated(monkeypatch, spark):
+    """However many cells a vector is compared with, it is stored in one block, and pairs of blocks are not shuffled."""
+    tables, plans = {}, {}
+
+    def kept(frame, name, stored=vector_join.stored):
+        plans[name] = frame._jdf.queryExecution().executedPlan().toString()
+        tables[name] = stored(frame, name)
+        return tables[name]
+
+    for name, value in (("PER_PIVOT", 10), ("BLOCK", 15), ("FILE_BYTES", 2000), ("stored", kept)):
+        monkeypatch.setattr(vector_join, name, value)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(200)]
+    rows += [(i + 200, [x * 1.01 + 1e-3 for x in v]) for i, v in rows[:20]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    check_vectors(vector_join.vector_join(table).collect(), rows)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batches
+    blocks = tables["vector-blocks"].collect()
+    assert len(blocks) > 20 and sum(len(r.ids) for r in blocks) == 8 * len(rows)
+    assert "CartesianProduct" in plans["vector-links"] and "Exchange" not in plans["vector-links"]
+
+
+def test_single_precision_candidates_may_all_fail(spark):
+    """Pairs just below the bound pass in single precision, and none is confirmed."""
+    rows = [(k, [math.cos(t), math.sin(t)]) for k, t in enumerate([0.0, math.acos(0.9) + 1e-6])]
+    check_vectors(vector_join.vector_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect(), rows)
+
+
 @pytest.mark.parametrize("width", [3, 64])
 def test_pivots_that_are_copies_of_one_direction_lose_no_partner(width):
     """Vectors about one direction, dealt over the cells of two scaled copies of it."""
